@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,7 +92,7 @@ def _repeated(group: pd.DataFrame) -> pd.DataFrame:
     return rows(*out)
 
 
-def _extend(shift: int, buckets: int):
+def _extend(shift: int, buckets: int, last: bool):
     """A chunk's repeated windows, by place and name, to windows longer by ``shift`` words."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -114,16 +115,26 @@ def _extend(shift: int, buckets: int):
         order = np.lexsort((two, one))
         new = np.ones(len(at), bool)
         new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
-        entry = np.empty(len(at), np.uint32)
-        entry[order] = np.cumsum(new) - 1
         first = np.flatnonzero(new)
         least = np.minimum.reduceat(ids[owner[at]][order], first)
+        # distinct windows are numbered by their first place, so that a passage's numbers are consecutive
+        place = np.empty(len(first), np.int64)
+        place[np.argsort(np.minimum.reduceat(order, first))] = np.arange(len(first))
+        entry = np.empty(len(at), np.int64)
+        entry[order] = place[np.cumsum(new) - 1]
         one, two = one[order][first], two[order][first]
-        out.append((-src - 1, src, LOCAL, pack(steps(at), entry, one)))
-        bucket = (one >> U(32)) * U(buckets) >> U(32)
-        edge = runs(bucket)
+        names = np.empty(0 if last else len(first), U)
+        if not last:
+            names[place] = one
+        out.append((-src - 1, src, LOCAL, pack(steps(at), np.diff(entry, prepend=0).astype(np.int32), names)))
+        bucket = ((one >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
+        order = np.lexsort((place, bucket))
+        edge = runs(bucket[order])
         for x, y in zip(edge[:-1], edge[1:], strict=True):
-            out.append((int(bucket[x]), src, RECORDS, pack(one[x:y], two[x:y], least[x:y], np.array([x], np.int64))))
+            own = order[x:y]
+            low = least[own].min()
+            small = np.uint32 if least[own].max() - low < 1 << 32 else np.int64
+            out.append((int(bucket[own[0]]), src, RECORDS, pack(one[own], two[own], (least[own] - low).astype(small), np.array([low]), steps(place[own]))))
         return rows(*out)
 
     return run
@@ -136,7 +147,8 @@ def _answers(last: bool):
         if group.dest.iloc[0] < 0:
             return group
         blobs = [unpack(b) for b in group.blob]
-        one, two, least = (np.concatenate([b[i] for b in blobs]) for i in range(3))
+        one, two = (np.concatenate([b[i] for b in blobs]) for i in range(2))
+        least = np.concatenate([b[2].astype(np.int64) + b[3][0] for b in blobs])
         order = np.lexsort((two, one))
         new = np.ones(len(one), bool)
         new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
@@ -146,10 +158,10 @@ def _answers(last: bool):
         hit[order] = least[order] > np.repeat(np.minimum.reduceat(least[order], first), size) if last else np.repeat(size > 1, size)
         out, at = [], 0
         for src, b in zip(group.src, blobs, strict=True):
-            found = np.flatnonzero(hit[at : at + len(b[0])])
+            found = unsteps(b[4])[hit[at : at + len(b[0])]]
             at += len(b[0])
             if len(found):
-                out.append((-src - 1, src, ANSWER, pack((found + b[3][0]).astype(np.uint32))))
+                out.append((-src - 1, src, ANSWER, pack(steps(found))))
         return rows(*out)
 
     return run
@@ -160,11 +172,12 @@ def _state(group: pd.DataFrame):
     local = group.blob[group.kind == LOCAL]
     if not len(local):
         return ids, keys, count, None
-    where, entry, one = unpack(local.iloc[0])
-    told = np.zeros(len(one), bool)
+    where, entry, names = unpack(local.iloc[0])
+    entry = unsteps(entry)
+    told = np.zeros(entry.max() + 1, bool)
     for b in group.blob[group.kind == ANSWER]:
-        told[unpack(b)[0]] = True
-    return ids, keys, count, (unsteps(where), entry, one, told)
+        told[unsteps(unpack(b)[0])] = True
+    return ids, keys, count, (unsteps(where), entry, names, told)
 
 
 def _survivors(group: pd.DataFrame) -> pd.DataFrame:
@@ -172,9 +185,9 @@ def _survivors(group: pd.DataFrame) -> pd.DataFrame:
     ids, keys, count, state = _state(group)
     out = [(-src - 1, src, DOCUMENTS, pack(ids, keys, count))]
     if state is not None:
-        where, entry, one, told = state
-        keep = (told | (np.bincount(entry, minlength=len(one)) > 1))[entry]
-        out.append((-src - 1, src, LOCAL, pack(steps(where[keep]), one[entry[keep]])))
+        where, entry, names, told = state
+        keep = (told | (np.bincount(entry) > 1))[entry]
+        out.append((-src - 1, src, LOCAL, pack(steps(where[keep]), names[entry[keep]])))
     return rows(*out)
 
 
@@ -184,10 +197,10 @@ def _spans(length: int):
         names = ["__id", "__row", "__spans"]
         if state is None:
             return pd.DataFrame([], columns=names)
-        where, entry, one, told = state
+        where, entry, _, told = state
         owner = np.repeat(np.arange(len(count)), count)
         mine = ids[owner[where]]
-        least = np.full(len(one), NONE)
+        least = np.full(len(told), NONE)
         np.minimum.at(least, entry, mine)
         hit = where[told[entry] | (mine > least[entry])]
         cover = np.zeros(len(owner) + 1, np.int64)
@@ -220,8 +233,9 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, min_words: int =
     state = texts.mapInArrow(_first_level(length, buckets), ROW).groupBy("dest").applyInPandas(_repeated, ROW)
     while True:
         longer = min(2 * length, min_words)
-        state = state.groupBy("src").applyInPandas(_extend(longer - length, buckets), ROW)
-        last, length = longer == min_words, longer
+        last = longer == min_words
+        state = state.groupBy("src").applyInPandas(_extend(longer - length, buckets, last), ROW)
+        length = longer
         state = state.groupBy("dest").applyInPandas(_answers(last), ROW)
         if last:
             break
@@ -229,21 +243,39 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, min_words: int =
     return state.groupBy("src").applyInPandas(_spans(min_words), "__id long, __row long, __spans binary").dropDuplicates(["__id", "__row"])
 
 
+def _deflated(docs: DataFrame, text_col: str) -> DataFrame:
+    """Texts as zstd frames, so that they take less of the join's shuffle."""
+    schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == text_col else f for f in docs.schema.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            texts = [None if t is None else press(t) for t in batch.column(at).cast(pa.large_binary()).to_pylist()]
+            columns = [pa.array(texts, pa.binary()) if i == at else batch.column(i) for i in range(batch.num_columns)]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 13, first: int = 7) -> DataFrame:
     """``docs`` with n_words, n_removed, removed (word ranges) and kept_text (kept words joined by a space)."""
     spans = repeated_spans(docs, id_col, text_col, min_words, first)
     new = ["n_words", "n_removed", "removed", "kept_text"]
     base = docs.drop(*new).withColumns({"__id": F.col(id_col).cast("long"), "__row": F.xxhash64(text_col)})
+    base = _deflated(base, text_col)
     left, right = base.alias("l"), spans.alias("r")
     both = left.join(right, F.col("l.__id").eqNullSafe(F.col("r.__id")) & (F.col("l.__row") == F.col("r.__row")), "left").select("l.*", "r.__spans").drop("__id", "__row")
-    kept = T.StructType([f for f in both.schema.fields if f.name != "__spans"])
+    kept = T.StructType([T.StructField(f.name, T.StringType()) if f.name == text_col else f for f in both.schema.fields if f.name != "__spans"])
     kept = kept.add("n_words", T.LongType()).add("n_removed", T.LongType()).add("removed", T.ArrayType(T.StructType().add("first", T.IntegerType()).add("stop", T.IntegerType()))).add("kept_text", T.StringType())
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inflate = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             texts, spans = batch.column(batch.schema.get_field_index(text_col)), batch.column(batch.schema.get_field_index("__spans"))
             words, removed, ranges, left = [], [], [], []
-            for text, span in zip(texts.cast(pa.large_binary()).to_pylist(), spans.to_pylist(), strict=True):
+            plain = [t and inflate(t) for t in texts.to_pylist()]
+            for text, span in zip(plain, spans.to_pylist(), strict=True):
                 own = (text or b"").split()
                 words.append(len(own))
                 gone = 0
@@ -258,7 +290,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 left.append(b" ".join(own))
             at = [i for i, name in enumerate(batch.schema.names) if name != "__spans"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in at] + [pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(ranges, pa.list_(pa.struct([("first", pa.int32()), ("stop", pa.int32())]))), pa.array(left, pa.binary()).cast(pa.string())],
+                [pa.array(plain, pa.binary()).cast(pa.string()) if batch.schema.names[i] == text_col else batch.column(i) for i in at] + [pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(ranges, pa.list_(pa.struct([("first", pa.int32()), ("stop", pa.int32())]))), pa.array(left, pa.binary()).cast(pa.string())],
                 [batch.schema.names[i] for i in at] + new,
             )
 
