@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylens.llm import substring
+from quarrylens.llm import jaccard, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,3 +26,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=13, first=7)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard.near_duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), n=4, num=85, den=100)
+    return out.select(F.col("__id").alias("doc_id"), "n_shingles", "component_id")

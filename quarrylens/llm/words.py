@@ -61,11 +61,11 @@ def powers(lane: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of a slice of documents: byte spans, and the words' range of each document."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR):
         self.data, self.offsets = data, offsets
         n = len(data)
         inside = np.empty(n + 1, bool)
-        inside[:n] = ~SEPARATOR[data]
+        inside[:n] = ~separator[data]
         inside[n] = False
         first = np.zeros(n + 1, bool)
         first[offsets[:-1]] = True
