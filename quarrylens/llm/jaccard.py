@@ -15,10 +15,12 @@ are ``spare`` at most, and the two sides still agree in one that both keep.  A s
 of them (a member of a large group of near copies) keeps all.
 
 Groups are found without listing all pairs within a bucket: equal sets are one node, each
-bucket is first linked to its smallest node (verified exactly), and only buckets whose nodes
-are still in different groups after that go on: a few rounds with other centres, then all
-remaining pairs across groups.  Every link used is verified on whole sets; two sets that
-reach the similarity always end in one group.
+bucket is first linked to its smallest node, and only buckets whose nodes are then still in
+different groups are compared pair by pair, in blocks of bounded size and across groups only.
+Candidates pass an exact filter before sets are fetched: each set has a mark of 2,048 bits,
+the parities of its elements by hash, and two marks never differ in more bits than the sets
+differ in elements.  Every link used is verified on whole sets, and two sets that reach the
+similarity always end in one group.
 
 Defined results: null text, empty text and text without words have an empty set, no links
 and their own id; a null id counts as larger than all ids; rows with equal ids are documents
@@ -37,19 +39,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrylens.llm.components import components
-from quarrylens.llm.packed import CHUNK_BYTES, ROW, bucket_count, pack, text_bytes, unpack
+from quarrylens.llm.packed import CHUNK_BYTES, ROW, bucket_count, frugal, frugal_group, pack, text_bytes, unpack
 from quarrylens.llm.storage import written
 from quarrylens.llm.words import U, Words, mix, runs, text_slices, windows
 
 NONE = np.iinfo(np.int64).max
 FACTS, RECORDS, LOCAL = range(3)
-FOUND = "kind int, a long, b long, c long, d long, e long"
+FOUND = "kind int, a long, b long, c long, d long, e long, mark binary"
 #: A signature held by more sets than this is common.
 WEAK = 40
 #: Sets to verify are sent to all tasks by key only if there are no more keys than this.
 SMALL = 200_000
-#: Pairs across groups are listed at once if there are no more than this many for each row of a bucket.
-SPARSE = 8
+#: Bits of a mark, and nodes of a bucket that one task compares with as many others.
+BITS = 2048
+BLOCK = 1500
 
 
 class Bands:
@@ -90,6 +93,16 @@ def _node(shingles: np.ndarray) -> np.int64:
     return mix(np.array([mix(shingles).sum(dtype=U) + U(len(shingles) * 2 + 1)]))[0].astype(np.int64)
 
 
+def _mark(shingles: np.ndarray) -> np.ndarray:
+    return np.packbits((np.bincount((shingles & U(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8))
+
+
+def _may_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Of rows of marks and of sizes: False only if the sets can't reach the similarity."""
+    apart = np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+    return (apart <= (den - num) * (n + m) // (den + num)) & (np.minimum(n, m) * den >= np.maximum(n, m) * num)
+
+
 def _signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(signature, index of the set, 0 for the set's own pair of bands or 1 for the next)."""
     sizes = np.array([len(s) for s in sets])
@@ -134,7 +147,8 @@ def _chunks(n: int, bands: Bands, buckets: int):
             ids, keys = table["__id"].fill_null(NONE).to_numpy(), table["__row"].to_numpy()
             sizes = np.array([len(s) for s in sets])
             nodes = np.array([_node(s) if len(s) else 0 for s in sets])
-            out = [(-src - 1, src, FACTS, pack(ids, keys, nodes, sizes))]
+            marks = np.concatenate([_mark(s) for s in sets])
+            out = [(-src - 1, src, FACTS, pack(ids, keys, nodes, sizes, marks))]
             first = np.unique(nodes, return_index=True)[1]
             first = first[sizes[first] > 0]
             if len(first):
@@ -164,8 +178,8 @@ def _chunks(n: int, bands: Bands, buckets: int):
     return run
 
 
-def _frame(kind: int, a, b, c, d, e) -> pd.DataFrame:
-    return pd.DataFrame({"kind": np.full(len(a), kind, np.int32), "a": a, "b": b, "c": c, "d": d, "e": e})
+def _frame(kind: int, a, b, c, d, e, mark=None) -> pd.DataFrame:
+    return pd.DataFrame({"kind": np.full(len(a), kind, np.int32), "a": a, "b": b, "c": c, "d": d, "e": e, "mark": mark})
 
 
 def _shared(group: pd.DataFrame) -> pd.DataFrame:
@@ -174,7 +188,7 @@ def _shared(group: pd.DataFrame) -> pd.DataFrame:
         out = []
         for kind, blob in zip(group.kind, group.blob, strict=True):
             x = unpack(blob)
-            out.append(_frame(FACTS, x[0], x[2], x[3], x[1], 0) if kind == FACTS else _frame(LOCAL, x[0], x[1], 0, x[2].astype(np.int64), 1))
+            out.append(_frame(FACTS, x[0], x[2], x[3], x[1], 0, [m.tobytes() for m in x[4].reshape(len(x[0]), -1)]) if kind == FACTS else _frame(LOCAL, x[0], x[1], 0, x[2].astype(np.int64), 1))
         return pd.concat(out)
     blobs = [unpack(b) for b in group.blob]
     key = np.concatenate([b[0] for b in blobs])
@@ -203,8 +217,8 @@ def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # a word and its separator take two bytes or more, so no set is larger than this
     longest = docs.agg(F.max(F.octet_length(text_col)).alias("n")).first()["n"] or 0
     bands = Bands(num, den, max(2, longest // 2 + 2))
-    buckets = bucket_count(total, 24 << 20)
-    found = written(texts.mapInArrow(_chunks(n, bands, buckets), ROW).groupBy("dest").applyInPandas(_shared, FOUND))
+    buckets = bucket_count(total, 12 << 20)
+    found = written(texts.mapInArrow(frugal(_chunks(n, bands, buckets)), ROW).groupBy("dest").applyInPandas(frugal_group(_shared), FOUND))
     facts = found.filter(F.col("kind") == FACTS).select(F.when(F.col("a") != NONE, F.col("a")).alias("__id"), F.col("d").alias("__row"), F.col("b").alias("node"), F.col("c").alias("n_shingles"))
 
     held = found.filter(F.col("kind") == RECORDS).select(F.col("a").alias("name"), F.col("b").alias("node"), F.col("c").alias("f"), F.col("d").alias("pair"), F.col("e").alias("own"))
@@ -216,46 +230,106 @@ def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.withColumn("weak", F.sum(common).over(Window.partitionBy("node", "pair"))).filter((F.col("f") <= weak) | (F.col("weak") > spare))
     rows = written(rows.select("name", "node").distinct())
 
-    sets = _sets(texts, facts, rows.select("node").distinct(), n)
-    enough = F.col("both") * (num + den) >= (F.col("n_u") + F.col("n_v")) * num
+    marks = found.filter(F.col("kind") == FACTS).select(F.col("b").alias("node"), F.col("c").alias("n"), "mark")
+    marks = written(marks.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.max("n").alias("n"), F.max("mark").alias("mark")))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        u = sets.select(F.col("node").alias("u"), F.col("shingles").alias("x"), F.size("shingles").alias("n_u"))
-        v = sets.select(F.col("node").alias("v"), F.col("shingles").alias("y"), F.size("shingles").alias("n_v"))
-        close = (F.least("n_u", "n_v") * den >= F.greatest("n_u", "n_v") * num)
-        return pairs.join(v, "v").join(u, "u").filter(close).withColumn("both", F.size(F.array_intersect("x", "y"))).filter(enough).select("u", "v")
+        """Links among candidate pairs (u, v), which are few enough past their marks that their sets can be fetched."""
+        pairs = written(pairs.distinct())
+        nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+        sets = _sets(texts, facts, nodes, n)
+        u = sets.select(F.col("node").alias("u"), F.col("shingles").alias("x"))
+        v = sets.select(F.col("node").alias("v"), F.col("shingles").alias("y"))
+        enough = F.size(F.array_intersect("x", "y")) * (num + den) >= (F.size("x") + F.size("y")) * num
+        return written(pairs.join(v, "v").join(u, "u").filter(enough).select("u", "v"))
 
     centre = rows.groupBy("name").agg(F.min("node").alias("u"))
     pairs = rows.join(centre, "name").filter("u <> node").select("u", F.col("node").alias("v")).distinct()
-    links = written(verified(pairs))
-    for turn in range(4):
-        groups = components(links)
-        left = rows.join(groups, "node", "left").select("name", "node", F.coalesce("component", "node").alias("component"))
-        mixed = left.groupBy("name").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"), F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("u")).filter("low <> high")
-        open_rows = written(left.join(mixed, "name").select("name", "node", "component", "u", "size"))
-        if open_rows.isEmpty():
-            break
-        sums = open_rows.groupBy("name", "component").agg(F.count("*").alias("n")).groupBy("name").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("q")).agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("q")) / 2).alias("pairs")).first()
-        x, y = open_rows.alias("x"), open_rows.alias("y")
-        if turn == 3 or sums["pairs"] <= SPARSE * sums["rows"]:
-            pairs = x.join(y, "name").filter("x.component < y.component").select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
-            more = written(verified(pairs))
-            links = written(links.unionByName(more))
-            groups = components(links)
-            break
-        other = open_rows.filter("node = u").select("name", "u", F.col("component").alias("c"))
-        pairs = open_rows.select("name", "node", "component").join(other, "name").filter("component <> c").select("u", F.col("node").alias("v")).distinct()
-        links = written(links.unionByName(verified(pairs)))
+    links = verified(_past_marks(pairs, marks, num, den))
+    groups = components(links)
+    left = rows.join(groups, "node", "left").select("name", "node", F.coalesce("component", "node").alias("component"))
+    mixed = left.groupBy("name").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).filter("low <> high").select("name", "size")
+    open_rows = left.join(mixed, "name").join(marks, "node")
+    more = verified(_across_groups(open_rows, num, den))
+    links = written(links.unionByName(more))
+    groups = components(links)
     documents = facts.join(groups, "node", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
     return documents, links
 
 
+def _past_marks(pairs: DataFrame, marks: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (u, v) whose marks allow the similarity."""
+    u = marks.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("mark").alias("m_u"))
+    v = marks.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("mark").alias("m_v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, BITS // 64) for i in (2, 3))
+            n, m = batch.column(4).to_numpy(), batch.column(5).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(_may_link(x, y, n, m, num, den)))
+
+    return pairs.join(v, "v").join(u, "u").select("u", "v", "m_u", "m_v", "n_u", "n_v").mapInArrow(frugal(run), "u long, v long")
+
+
+def _across_groups(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of a bucket's nodes in different groups whose marks allow the similarity.
+
+    A bucket of more than BLOCK nodes is dealt into blocks, and a task compares two of them."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("long")
+    rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("name", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "n", "mark")
+
+    def compare(held: pa.Table) -> pa.RecordBatch:
+        """Whole groups of rows: compares rows that are 1, 2, 3 ... apart."""
+        marks = np.frombuffer(b"".join(held["mark"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        name, i, j, own, node, part, n = (held[c].to_numpy() for c in ("name", "i", "j", "own", "node", "component", "n"))
+        new = np.ones(len(name) + 1, bool)
+        new[1:-1] = (name[1:] != name[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        edge = np.flatnonzero(new)
+        stop = np.repeat(edge[1:], np.diff(edge))
+        one = np.arange(len(name))
+        us, vs, apart = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 1
+        while len(one := one[one + apart < stop[one]]):
+            a = one[(part[one] != part[one + apart]) & ((i[one] == j[one]) | (own[one] != own[one + apart]))]
+            for k in range(0, len(a), 1 << 14):
+                x = a[k : k + (1 << 14)]
+                y = x + apart
+                hit = _may_link(marks[x], marks[y], n[x], n[y], num, den)
+                us.append(node[x[hit]])
+                vs.append(node[y[hit]])
+            apart += 1
+        u, v = np.concatenate(us), np.concatenate(vs)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if not table.num_rows:
+                continue
+            keys = [table[c].to_numpy() for c in ("name", "i", "j")]
+            same = np.logical_and.reduce([k == k[-1] for k in keys])
+            # the last group may go on in the next batch; the others are whole
+            split = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+            if split or (held and any(held[-1][c][-1].as_py() != table[c][0].as_py() for c in ("name", "i", "j"))):
+                whole = pa.concat_tables([*held, table.slice(0, split)])
+                yield compare(whole)
+                held = []
+            held.append(table.slice(split))
+        if held:
+            yield compare(pa.concat_tables(held))
+
+    rows = rows.repartition("name", "i", "j").sortWithinPartitions("name", "i", "j")
+    return rows.mapInArrow(frugal(run), "u long, v long")
+
+
 def _sets(texts: DataFrame, facts: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """The sets of those nodes, each from one of its documents."""
     chosen = facts.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("__id", "__row")).alias("d")).select("d.__id", "d.__row").distinct()
     chosen = written(chosen)
-    small = chosen.count() <= SMALL
-    key = F.broadcast(chosen).alias("k") if small else chosen.alias("k")
+    count = chosen.count()
+    key = F.broadcast(chosen).alias("k") if count <= SMALL else chosen.alias("k")
     texts = texts.alias("t").join(key, F.col("t.__id").eqNullSafe(F.col("k.__id")) & (F.col("t.__row") == F.col("k.__row")), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +340,9 @@ def _sets(texts: DataFrame, facts: DataFrame, nodes: DataFrame, n: int) -> DataF
                 edge = pa.array(np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(edge, every)], ["node", "shingles"])
 
-    return written(texts.select("__text").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"]))
+    sets = written(texts.select("__text").mapInArrow(frugal(run), "node long, shingles array<long>"))
+    # a row chosen by its id and text comes more than once only if the whole row is repeated
+    return sets if sets.count() == count else written(sets.dropDuplicates(["node"]))
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:

@@ -9,13 +9,18 @@ runs once.  Everything lives in Spark's shuffle and is recomputed if an executor
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Text bytes of a chunk: bounds what a task holds at once (about 25 times as much memory).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 ROW = "dest long, src long, kind int, blob binary"
 
 
@@ -64,3 +69,39 @@ def bucket_count(total: int, per_bucket: int = 8 << 20) -> int:
 
 def rows(*groups: tuple) -> pd.DataFrame:
     return pd.DataFrame(list(groups), columns=["dest", "src", "kind", "blob"])
+
+
+def trim() -> None:
+    """Gives freed memory back to the system: Python workers outlive their tasks and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A partition function that trims memory when it ends."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return wrapped
+
+
+def frugal_group(run: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A group function that trims memory after a group of some size."""
+
+    @wraps(run)
+    def wrapped(group: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return run(group)
+        finally:
+            if sum(map(len, group["blob"])) > 1 << 20:
+                trim()
+
+    return wrapped

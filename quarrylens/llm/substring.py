@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrylens.llm.packed import CHUNK_BYTES, ROW, bucket_count, pack, rows, steps, text_bytes, unpack, unsteps
+from quarrylens.llm.packed import CHUNK_BYTES, ROW, bucket_count, frugal, frugal_group, pack, rows, steps, text_bytes, unpack, unsteps
 from quarrylens.llm.words import U, Words, mix, runs, text_slices, windows
 
 NONE = np.iinfo(np.int64).max
@@ -230,17 +230,17 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, min_words: int =
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(text_col).alias("__row"), F.col(text_col).cast("string").alias("__text"))
     buckets = bucket_count(text_bytes(docs, text_col))
     length = first
-    state = texts.mapInArrow(_first_level(length, buckets), ROW).groupBy("dest").applyInPandas(_repeated, ROW)
+    state = texts.mapInArrow(frugal(_first_level(length, buckets)), ROW).groupBy("dest").applyInPandas(frugal_group(_repeated), ROW)
     while True:
         longer = min(2 * length, min_words)
         last = longer == min_words
-        state = state.groupBy("src").applyInPandas(_extend(longer - length, buckets, last), ROW)
+        state = state.groupBy("src").applyInPandas(frugal_group(_extend(longer - length, buckets, last)), ROW)
         length = longer
-        state = state.groupBy("dest").applyInPandas(_answers(last), ROW)
+        state = state.groupBy("dest").applyInPandas(frugal_group(_answers(last)), ROW)
         if last:
             break
-        state = state.groupBy("src").applyInPandas(_survivors, ROW)
-    return state.groupBy("src").applyInPandas(_spans(min_words), "__id long, __row long, __spans binary").dropDuplicates(["__id", "__row"])
+        state = state.groupBy("src").applyInPandas(frugal_group(_survivors), ROW)
+    return state.groupBy("src").applyInPandas(frugal_group(_spans(min_words)), "__id long, __row long, __spans binary").dropDuplicates(["__id", "__row"])
 
 
 def _deflated(docs: DataFrame, text_col: str) -> DataFrame:
@@ -255,7 +255,7 @@ def _deflated(docs: DataFrame, text_col: str) -> DataFrame:
             columns = [pa.array(texts, pa.binary()) if i == at else batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run), schema)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 13, first: int = 7) -> DataFrame:
@@ -294,4 +294,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 [batch.schema.names[i] for i in at] + new,
             )
 
-    return both.mapInArrow(finish, kept)
+    return both.mapInArrow(frugal(finish), kept)

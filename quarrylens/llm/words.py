@@ -48,7 +48,7 @@ def powers(lane: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(base**i, base**-i) modulo 2**64 for i below at least n."""
     have = _powers.get(lane)
     if have is None or len(have[0]) < n:
-        size = max(1 << 16, 1 << int(n - 1).bit_length())
+        size = -(-n >> 18) + 1 << 18  # not the next power of two: the tables are large
         both = []
         for b in (_BASES[lane], pow(_BASES[lane], -1, 1 << 64)):
             steps = np.full(size, U(b))
