@@ -112,11 +112,11 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     # a row for each bucket of each table: as many as tables times axes
     parts = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     sizes = index.groupBy("slot", "bucket").agg(F.count("*").alias("n")).join(probing.groupBy("slot", "bucket").agg(F.count("*").alias("m")), ["slot", "bucket"])
-    sizes = F.broadcast(sizes.select("slot", "bucket", parts("n").alias("n"), parts("m").alias("m")))
+    sizes = F.broadcast(written(sizes.select("slot", "bucket", parts("n").alias("n"), parts("m").alias("m"))))
     block = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    index = index.join(sizes, ["slot", "bucket"]).withColumn("i", block("n")).withColumn("j", upto("m"))
-    probing = probing.join(sizes, ["slot", "bucket"]).withColumn("j", block("m")).withColumn("i", upto("n"))
+    index = index.join(sizes, ["slot", "bucket"]).select("slot", "bucket", "key", "raw", block("n").alias("i"), upto("m").alias("j"))
+    probing = probing.join(sizes, ["slot", "bucket"]).select("slot", "bucket", "key", "raw", block("m").alias("j"), upto("n").alias("i"))
 
     def score(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         keys, found, scores = [], [], []

@@ -129,11 +129,17 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 8, rate
             weight -= step * 0.1 * np.outer(hidden, error)
             bias -= step * 0.01 * error
             embedding[rows] = own - (step * share)[:, None] * len(rows) ** 0.5 * back
+    # rows of features that training never saw say nothing
+    unseen = np.ones(1 << BITS, bool)
+    for i in train:
+        unseen[samples[i][0]] = False
+    embedding[unseen] = 0
     model = Model(languages, (embedding @ weight).astype(np.float32), bias.astype(np.float64))
     if len(held):
         raw = np.array([samples[i][1] @ model.table[samples[i][0]] if len(samples[i][0]) else np.zeros(len(languages)) for i in held]) + model.bias
         loss = [(-np.log(np.maximum(softmax(raw / t)[np.arange(len(held)), label[held]], 1e-12)).mean(), t) for t in np.geomspace(0.05, 5, 40)]
-        model.temperature = float(min(loss)[1])
+        # the highest temperature that is about as good as the best: no more sure than the texts ask for
+        model.temperature = float(max(t for x, t in loss if x <= min(loss)[0] + 0.01))
         chance = softmax(raw / model.temperature)
         right = chance.max(axis=1)[chance.argmax(axis=1) == label[held]]
         # of texts labelled rightly at most one in 500 is rejected, and none with a majority

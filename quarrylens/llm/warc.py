@@ -18,7 +18,7 @@ the page rows themselves are joined by digest, which Spark splits where one dige
 
 Defined results: a null html counts as an empty payload; a null or unparsable URL is kept as
 text, its key is the text itself; rows with a null id are written with an empty id and read
-back with a null id; of rows with equal payloads and the same largest id, that with the
+back with a null id (and are the smallest, so a revisit of one refers to null); of rows with equal payloads and the same largest id, that with the
 smallest URL is the response; an empty table gives no archive and no rows.
 """
 
@@ -62,10 +62,10 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _record(page: int | None, url: str, payload: bytes, own: str, target: int | None, target_url: str | None) -> bytes:
-    kind = "response" if target is None else "revisit"
+def _record(page: int | None, url: str, payload: bytes, own: str, revisit: bool, target: int | None, target_url: str) -> bytes:
+    kind = "revisit" if revisit else "response"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    block = http + (payload if target is None else b"")
+    block = http + (b"" if revisit else payload)
     head = {
         "WARC-Type": kind,
         "WARC-Record-ID": f"<urn:page:{'' if page is None else page}>",
@@ -76,8 +76,8 @@ def _record(page: int | None, url: str, payload: bytes, own: str, target: int |
         "Content-Type": "application/http; msgtype=response",
         "Content-Length": str(len(block)),
     }
-    if target is not None:
-        head |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": f"<urn:page:{target}>", "WARC-Refers-To-Target-URI": target_url or ""}
+    if revisit:
+        head |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": f"<urn:page:{'' if target is None else target}>", "WARC-Refers-To-Target-URI": target_url}
     lines = "".join(f"{k}: {v}\r\n" for k, v in head.items())
     return f"WARC/1.1\r\n{lines}\r\n".encode() + block
 
@@ -109,7 +109,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
             columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             for i in range(batch.num_rows):
                 page, url, payload, revisit, target, target_url = (columns[c][i].as_py() for c in ("id", "url", "payload", "revisit", "target", "target_url"))
-                record = _record(page, _line(url), payload, digest(payload), target if revisit else None, _line(target_url))
+                record = _record(page, _line(url), payload, digest(payload), revisit, target, _line(target_url))
                 press = zlib.compressobj(6, zlib.DEFLATED, 31)
                 members.append(press.compress(record) + press.flush())
                 numbers.append(archive)
@@ -197,7 +197,8 @@ def build_index(captures: DataFrame, path: str, block_lines: int = 3000) -> None
 
         def block() -> pa.RecordBatch:
             data = zlib.compress("\n".join(x for _, x in held).encode(), 6)
-            return pa.RecordBatch.from_pydict({"first": [held[0][0]], "last": [held[-1][0]], "block": [number], "lines": [len(held)], "data": [data]})
+            columns = [pa.array([x], t) for x, t in ((held[0][0], pa.string()), (held[-1][0], pa.string()), (number, pa.int64()), (len(held), pa.int32()), (data, pa.binary()))]
+            return pa.RecordBatch.from_arrays(columns, ["first", "last", "block", "lines", "data"])
 
         for batch in batches:
             for row in batch.to_pylist():
