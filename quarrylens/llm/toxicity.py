@@ -1,6 +1,6 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, with block-max pruning.
 
-A bounded sample of labelled texts is the index.  Its vocabulary is the words whose presence
+A bounded sample of labelled texts is the index.  Its vocabulary is the words and beginnings of words whose presence
 depends on the label (chi-squared with one degree of freedom of ``least_chi`` or more); weights
 are (1 + ln tf) * idf and vectors have length one.  The index is inverted by blocks of
 examples: for each word a block stores the weights of its examples and their maximum.  A
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrylens.llm.packed import frugal
-from quarrylens.llm.words import Words, runs, text_slices
+from quarrylens.llm.words import Words, mix, runs, text_slices
 
 SLICE = 2 << 20
 #: Only letters make words: ASCII letters and all beyond ASCII.
@@ -38,10 +38,22 @@ NOT_LETTER = np.ones(256, bool)
 NOT_LETTER[65:91] = NOT_LETTER[97:123] = NOT_LETTER[128:] = False
 
 
+#: Bytes of words' beginnings that are terms too.
+BEGINNINGS = (4, 5, 6, 7, 8)
+
+
 def term_counts(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, word hash or its place in the ascending vocabulary, count), by text and word."""
+    """(text, term or its place in the ascending vocabulary, count), by text and term.
+
+    Terms are hashes of lower-case words and of the beginnings of longer ones."""
     words = Words(data, offsets, NOT_LETTER)
-    owner, terms = words.owner(), words.hashes(lower=True)
+    owner, found = words.owner(), [words.hashes(lower=True)]
+    owners, size = [owner], words.ends - words.starts
+    for first in BEGINNINGS:
+        long = size > first
+        owners.append(owner[long])
+        found.append(mix(words.hashes(lower=True, first=first)[long] + np.uint64(first)))
+    owner, terms = np.concatenate(owners), np.concatenate(found)
     if vocabulary is not None:
         place = np.searchsorted(vocabulary, terms)
         place[place == len(vocabulary)] = 0
@@ -103,8 +115,22 @@ class Index:
         return 1 / (1 + np.exp(-(self.slope * np.asarray(vote) + self.shift)))
 
 
+def without_copies(texts: list[tuple[int, int, np.ndarray, np.ndarray]], hashes: int = 16, least: int = 10) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Examples without near copies of earlier ones (``least`` of so many minimal hashes of their
+    words agree): a family of copies would make its rare words look as if they went with its label."""
+    kept, marks = [], np.zeros((len(texts), hashes), np.uint64)
+    seeds = mix(np.arange(1, hashes + 1, dtype=np.uint64))
+    for example in texts:
+        own = mix(example[2][:, None] ^ seeds).min(axis=0) if len(example[2]) else np.zeros(hashes, np.uint64)
+        if not (len(example[2]) and ((marks[: len(kept)] == own).sum(axis=1) >= least).any()):
+            marks[len(kept)] = own
+            kept.append(example)
+    return kept
+
+
 def build(texts: list[tuple[int, int, np.ndarray, np.ndarray]], share: float, k: int = 15, block: int = 64, least_chi: float = 16.0, least_df: int = 5) -> Index:
     """From (id, label, word hashes, counts) of each example; share: of toxic among all labels."""
+    texts = without_copies(texts)
     toxic = np.array([y for _, y, _, _ in texts])
     owner = np.repeat(np.arange(len(texts)), [len(t) for _, _, t, _ in texts])
     terms, counts = (np.concatenate([t[i] for t in texts]) for i in (2, 3))

@@ -79,14 +79,16 @@ class Words:
         self.bounds = np.searchsorted(self.starts, offsets)
         self.count = np.diff(self.bounds)
 
-    def hashes(self, lane: int = 0, lower: bool = False) -> np.ndarray:
+    def hashes(self, lane: int = 0, lower: bool = False, first: int | None = None) -> np.ndarray:
+        """Of whole words, or of their first so many bytes."""
         if not len(self.starts):
             return np.zeros(0, U)
         up, down = powers(lane, len(self.data) + 1)
         sums = np.empty(len(self.data) + 1, U)
         sums[0] = 0
         np.cumsum(byte_values(lane, lower)[self.data] * up[: len(self.data)], out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        ends = self.ends if first is None else np.minimum(self.ends, self.starts + first)
+        return mix((sums[ends] - sums[self.starts]) * down[self.starts])
 
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.count)), self.count)
