@@ -1,4 +1,6 @@
 """All queries of the library by name, and the SQL that states the same result."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from quarrylens.plans import gold_queries, relational_queries, text_queries  # noqa: F401  they register themselves
+from quarrylens.plans.registry import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
