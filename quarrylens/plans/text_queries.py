@@ -218,7 +218,7 @@ def _responses(spark, d):
     """Responses over benchmark passages: exact and loose quotes, repeats, unknown fields, no JSON."""
     b = table(spark, d, "benchmark").select(F.col("item_id").alias("review_id"), "text")
     k = F.col("review_id")
-    quote = F.rtrim(F.substring("text", 1, 60))
+    quote = F.regexp_replace(F.substring("text", 1, 60), r"\s+$", "")
     insight = lambda topic, polarity, evidence: F.struct(F.lit(topic).alias("topic_raw"), F.lit(polarity).alias("polarity"), evidence.alias("evidence"), F.lit("current_product").alias("target_scope"))
     good, loose = insight("Noise ", "negative", quote), insight("noise", "negative", F.regexp_replace(quote, " ", "  "))
     wrong, missing = insight("size", "angry", quote), insight("colour", "mixed", F.lit("no such words at all"))
@@ -230,7 +230,7 @@ def _responses(spark, d):
 @query(
     """SELECT item_id AS review_id, CASE WHEN item_id % 17 = 16 THEN 'failed' WHEN item_id % 5 IN (0, 4) THEN 'success' WHEN item_id % 5 = 1 THEN 'partial_success' WHEN item_id % 5 = 2 THEN 'failed' ELSE 'success_no_insight' END AS processing_status,
     CASE WHEN item_id % 17 = 16 OR item_id % 5 IN (2, 3) THEN 0 ELSE 1 END AS accepted, CASE WHEN item_id % 17 = 16 THEN 0 WHEN item_id % 5 = 1 THEN 1 WHEN item_id % 5 = 2 THEN 2 ELSE 0 END AS rejected,
-    CASE WHEN item_id % 17 <> 16 AND item_id % 5 IN (0, 1, 4) THEN rtrim(substr(text, 1, 60)) END AS evidence FROM benchmark"""
+    CASE WHEN item_id % 17 <> 16 AND item_id % 5 IN (0, 1, 4) THEN regexp_replace(substr(text, 1, 60), '\\s+$', '') END AS evidence FROM benchmark"""
 )
 def contract_validate(spark, d):
     out = insights.validate_responses(_responses(spark, d), "review_id", "text", "response")
@@ -238,7 +238,7 @@ def contract_validate(spark, d):
 
 
 @query(
-    """WITH g AS (SELECT item_id AS review_id, item_id % 4 AS product_id, CASE WHEN item_id % 5 = 4 THEN 'noise' ELSE 'Noise' END AS topic, rtrim(substr(text, 1, 60)) AS evidence FROM benchmark WHERE item_id % 17 <> 16 AND item_id % 5 IN (0, 1, 4) AND item_id % 4 <> 3)
+    """WITH g AS (SELECT item_id AS review_id, item_id % 4 AS product_id, CASE WHEN item_id % 5 = 4 THEN 'noise' ELSE 'Noise' END AS topic, regexp_replace(substr(text, 1, 60), '\\s+$', '') AS evidence FROM benchmark WHERE item_id % 17 <> 16 AND item_id % 5 IN (0, 1, 4) AND item_id % 4 <> 3)
     SELECT review_id, product_id, left(sha256(review_id || '|' || product_id || '|0|' || topic || '|' || evidence || '|current_product|negative'), 24) AS candidate_id, topic || ': ' || trim(regexp_replace(evidence, '\\s+', ' ', 'g')) AS candidate_text, 'cat-' || product_id AS category_slug FROM g"""
 )
 def candidate_explode(spark, d):
