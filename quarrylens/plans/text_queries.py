@@ -8,6 +8,7 @@ from quarrylens.functions import scalars
 from quarrylens.operators import cleaning, duplicates, insights, scope, taxonomy, text, vectors
 from quarrylens.operators.gold import MAPPED
 from quarrylens.plans.registry import query, table
+from quarrylens.sources.storage import written
 
 RELEASE = "release-1"
 
@@ -90,7 +91,8 @@ def eligibility_flags(spark, d):
     FROM ok LEFT JOIN g ON ok.b = g.b"""
 )
 def duplicate_marking(spark, d):
-    kept = cleaning.clean_reviews(_envelopes(spark, d), RELEASE, "run").filter("parse_status = 'ok'")
+    # cleaned rows are written once, as a silver table would be, and read three times
+    kept = written(cleaning.clean_reviews(_envelopes(spark, d), RELEASE, "run").filter("parse_status = 'ok'").select("source_line_number", "exact_hash", "body_hash", "user_id_hash", "parent_asin", "asin"))
     return duplicates.mark_duplicates(kept).select("source_line_number", "body_group_size", "body_duplicate", "body_cross_user", "body_cross_parent", "body_cross_variant")
 
 
@@ -157,7 +159,7 @@ STOP_SQL = "(" + ", ".join(f"'{w}'" for w in text.STOP_WORDS) + ")"
     SELECT lang, theme, review_count, global_df, group_reviews, round(score, 6) AS tfidf_score, review_count / CAST(group_reviews AS DOUBLE) AS review_share, rank FROM r WHERE rank <= 20"""
 )
 def tfidf_topk(spark, d):
-    out = text.top_terms(table(spark, d, "documents").select("doc_id", "lang", "text"), "doc_id", ["lang"], "text", 20, 20)
+    out = text.top_terms(table(spark, d, "documents").select("doc_id", "lang", "text"), "doc_id", ["lang"], "text", 20, 20, unique_ids=True)
     return out.withColumn("tfidf_score", F.round("tfidf_score", 6))
 
 
