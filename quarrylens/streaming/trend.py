@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 def event_rates(events: DataFrame, window: str = "1 day", late: str = "2 days") -> DataFrame:
     """Events and their values by type and event-time window; in a stream, late rows count until the watermark."""
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need a zoned time
     if events.isStreaming:
         events = events.withWatermark("ts", late)
     return events.groupBy(F.window("ts", window).alias("w"), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("total")).select(F.col("w.start").alias("window_start"), "event_type", "events", "total")
