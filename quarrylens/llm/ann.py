@@ -29,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrylens.llm.packed import frugal
 from quarrylens.llm.storage import written
@@ -65,19 +66,21 @@ def axes(x: np.ndarray, table: int, seed: int, probes: int) -> np.ndarray:
     return np.argsort(-both, axis=1, kind="stable")[:, :probes]
 
 
-def _matrix(column, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.float64).reshape(-1, width)
+def _matrix(column, width: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(-1, width).astype(np.float64)
 
 
-def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = 20, tables: int = 24, probes: int = 24, seed: int = 11) -> DataFrame:
+def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = 20, tables: int = 8, probes: int = 16, seed: int = 11) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest others of each row whose id is divisible by ``every``."""
     double = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), double.alias("v")).filter("id is not null and v is not null")
     rows = rows.filter(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))).filter(F.exists("v", lambda x: x != 0))
     rows = rows.withColumn("key", F.md5(F.concat_ws(",", F.transform("v", lambda x: x.cast("string")))))
 
+    # an entry goes by its smallest id
     first = rows.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("id"))).filter(F.col("n") <= k + 1)
-    entries = written(first.groupBy("key").agg(F.min("v").alias("v"), F.sort_array(F.collect_list("id")).alias("ids")))
+    entries = first.groupBy("key").agg(F.min("v").alias("v"), F.sort_array(F.collect_list("id")).alias("ids"))
+    entries = written(entries.select(F.element_at("ids", 1).alias("entry"), "key", "v", "ids"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     facts = entries.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width"), F.max(norm).alias("high"), F.min(norm).alias("low")).first()
     out = "query_id long, rank int, vec_id long, score double"
@@ -87,8 +90,10 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     equal = facts["high"] - facts["low"] <= 1e-5 * high
     if facts["n"] <= 50 * k:
         tables, probes = 1, 1 << 30
-    queries = rows.filter(F.col("id") % every == 0).select("key", F.col("id").alias("query_id"))
-    asking = queries.select("key").distinct().join(entries.select("key", "v"), "key")
+    queries = rows.filter(F.col("id") % every == 0).select("key", F.col("id").alias("query_id")).join(entries.select("key", "entry"), "key").select("entry", "query_id")
+    asking = entries.join(queries.select("entry").distinct(), "entry", "left_semi")
+    # components of a float column are exact in 32 bits
+    kind = "<f4" if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else "<f8"
 
     def hashed(probe: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,65 +101,61 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
                 for at in range(0, batch.num_rows, 1024):
                     part = batch.slice(at, 1024)
                     x = part.column(1).flatten().to_numpy().reshape(-1, width)
-                    raw = pa.array([r.tobytes() for r in x], pa.binary())
+                    raw = pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
                     # equally long vectors: the rest of the length goes into one more coordinate, 0 for queries
                     unit = x / np.linalg.norm(x, axis=1, keepdims=True) if equal else np.concatenate((x / high, (np.zeros if probe else lambda n: np.sqrt(np.maximum(0, 1 - ((x / high) ** 2).sum(axis=1))))(len(x))[:, None]), 1)
                     for table in range(tables):
                         near = axes(unit, table, seed, min(probes, 1 << 20) if probe else 1)
                         for j in range(near.shape[1]):
-                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), table, np.int32)), pa.array(near[:, j].astype(np.int32)), part.column(0), raw], ["slot", "bucket", "key", "raw"])
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), table, np.int32)), pa.array(near[:, j].astype(np.int32)), part.column(0), raw], ["slot", "bucket", "entry", "raw"])
 
         return run
 
-    schema = "slot int, bucket int, key string, raw binary"
-    index = written(entries.select("key", "v").mapInArrow(frugal(hashed(False)), schema))
-    probing = written(asking.select("key", "v").mapInArrow(frugal(hashed(True)), schema))
+    schema = "slot int, bucket int, entry long, raw binary"
+    index = written(entries.select("entry", "v").mapInArrow(frugal(hashed(False)), schema))
+    probing = written(asking.select("entry", "v").mapInArrow(frugal(hashed(True)), schema))
     # a row for each bucket of each table: as many as tables times axes
     parts = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     sizes = index.groupBy("slot", "bucket").agg(F.count("*").alias("n")).join(probing.groupBy("slot", "bucket").agg(F.count("*").alias("m")), ["slot", "bucket"])
     sizes = F.broadcast(written(sizes.select("slot", "bucket", parts("n").alias("n"), parts("m").alias("m"))))
-    block = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("entry"), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    index = index.join(sizes, ["slot", "bucket"]).select("slot", "bucket", "key", "raw", block("n").alias("i"), upto("m").alias("j"))
-    probing = probing.join(sizes, ["slot", "bucket"]).select("slot", "bucket", "key", "raw", block("m").alias("j"), upto("n").alias("i"))
+    index = index.join(sizes, ["slot", "bucket"]).select("slot", "bucket", "entry", "raw", block("n").alias("i"), upto("m").alias("j"))
+    probing = probing.join(sizes, ["slot", "bucket"]).select("slot", "bucket", "entry", "raw", block("m").alias("j"), upto("n").alias("i"))
 
     def score(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        keys, found, scores = [], [], []
+        entry, found, scores = [], [], []
         if len(asked) and len(held):
-            x, names = _matrix(held["raw"], width).T, held["key"].to_numpy()
-            asker, raw = asked["key"].to_numpy(), asked["raw"].to_numpy()
+            x, names = _matrix(held["raw"], width, kind).T, held["entry"].to_numpy()
+            asker, raw = asked["entry"].to_numpy(), asked["raw"].to_numpy()
             most = min(k + 1, len(names))
             for at in range(0, len(asker), 512):
-                s = _matrix(raw[at : at + 512], width) @ x
-                best = np.argpartition(-s, most - 1, axis=1)[:, :most] if most < len(names) else np.tile(np.arange(most), (len(s), 1))
-                # an entry as good as the last one kept is kept too
-                last = np.take_along_axis(s, best, 1).min(axis=1)
-                extra = (s >= last[:, None] - 1e-12).sum(axis=1) > most
+                s = _matrix(raw[at : at + 512], width, kind) @ x
+                last = -np.partition(-s, most - 1, axis=1)[:, most - 1]
                 for i in range(len(s)):
-                    own = np.flatnonzero(s[i] >= last[i] - 1e-12) if extra[i] else best[i]
-                    keys.append(asker[at + i])
-                    found.append("".join(names[own]))
+                    # entries as good as the last one are kept too
+                    own = np.flatnonzero(s[i] >= last[i] - 1e-12)
+                    entry.append(asker[at + i])
+                    found.append(names[own].tobytes())
                     scores.append(s[i, own].tobytes())
-        return pd.DataFrame({"key": keys, "found": found, "scores": scores})
+        return pd.DataFrame({"entry": np.array(entry, np.int64), "found": found, "scores": scores})
 
     by = ["slot", "bucket", "i", "j"]
-    partial = probing.groupBy(*by).cogroup(index.groupBy(*by)).applyInPandas(score, "key string, found string, scores binary")
+    partial = probing.groupBy(*by).cogroup(index.groupBy(*by)).applyInPandas(score, "entry long, found binary, scores binary")
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
-        names = np.array([f[i : i + 32] for f in group["found"] for i in range(0, len(f), 32)])
-        scores = np.frombuffer(b"".join(group["scores"]), np.float64)
+        names, scores = (np.frombuffer(b"".join(group[c]), t) for c, t in (("found", np.int64), ("scores", np.float64)))
         names, at = np.unique(names, return_index=True)
         scores = scores[at]
         last = np.sort(scores)[-min(k + 1, len(scores))]
-        keep = scores >= last - 1e-12
-        return pd.DataFrame({"key": group["key"].iloc[0], "other": names[keep]})
+        return pd.DataFrame({"entry": group["entry"].iloc[0], "other": names[scores >= last - 1e-12]})
 
-    best = partial.groupBy("key").applyInPandas(merge, "key string, other string")
+    best = partial.groupBy("entry").applyInPandas(merge, "entry long, other long")
     # exact scores of the few kept, in one order of summation
-    mine = asking.select("key", F.col("v").alias("q"))
-    theirs = entries.select(F.col("key").alias("other"), F.col("v").alias("x"), "ids")
-    exact = best.join(mine, "key").join(theirs, "other").withColumn("score", F.aggregate(F.zip_with("q", "x", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x))
-    listed = exact.groupBy("key").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
-    pairs = queries.join(listed, "key").withColumn("f", F.explode("found")).select("query_id", F.col("f.score").alias("score"), F.explode("f.ids").alias("vec_id")).filter("query_id <> vec_id")
+    mine = asking.select("entry", F.col("v").alias("q"))
+    theirs = entries.select(F.col("entry").alias("other"), F.col("v").alias("x"), "ids")
+    exact = best.join(mine, "entry").join(theirs, "other").withColumn("score", F.aggregate(F.zip_with("q", "x", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x))
+    listed = exact.groupBy("entry").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
+    pairs = queries.join(listed, "entry").withColumn("f", F.explode("found")).select("query_id", F.col("f.score").alias("score"), F.explode("f.ids").alias("vec_id")).filter("query_id <> vec_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return pairs.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
