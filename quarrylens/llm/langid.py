@@ -24,11 +24,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrylens.llm.packed import frugal
+from quarrylens.llm.sampling import smallest_hashes
 from quarrylens.llm.words import U, byte_values, text_slices
 
 BITS = 15
@@ -150,9 +151,8 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 8, rate
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = 500, most: int = 5000, longest: int = 200_000) -> Model | None:
     """A model from a bounded sample of ``docs`` (see above), or None without labelled rows."""
     able = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).rlike("\\p{L}") & (F.octet_length(text_col) <= longest))
-    rank = F.row_number().over(Window.partitionBy("__y").orderBy("__h", "__id"))
-    ids = able.select(F.col(id_col).alias("__id"), F.xxhash64(F.col(id_col), F.lit(1)).alias("__h"), F.col(label_col).alias("__y"))
-    ids = ids.withColumn("__n", rank).filter(F.col("__n") <= per_language).orderBy("__n", "__h").limit(most).select("__id").distinct()
+    ids = able.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__y"))
+    ids = smallest_hashes(ids, per_language).orderBy("__n", "__h").limit(most).select("__id").distinct()
     chosen = able.join(F.broadcast(ids), F.col(id_col).eqNullSafe(F.col("__id")), "left_semi").limit(2 * most).select(F.col(text_col).alias("__t"), F.col(label_col).cast("string").alias("__y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

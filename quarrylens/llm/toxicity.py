@@ -25,11 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrylens.llm.packed import frugal
+from quarrylens.llm.sampling import smallest_hashes
 from quarrylens.llm.words import Words, mix, runs, text_slices
 
 SLICE = 2 << 20
@@ -190,8 +191,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     count = {r["__y"]: r["n"] for r in able.groupBy("__y").agg(F.count("*").alias("n")).collect()}
     if not count:
         return None
-    rank = F.row_number().over(Window.partitionBy("__y").orderBy("__h", "__id"))
-    ids = able.withColumn("__h", F.xxhash64("__id", F.lit(2))).withColumn("__n", rank).filter(F.col("__n") <= per_label).select("__id", "__y")
+    ids = smallest_hashes(able, per_label).select("__id", "__y")
     chosen = docs.filter(F.octet_length(text_col) <= longest).join(F.broadcast(ids), F.col(id_col) == F.col("__id")).select("__id", "__y", F.col(text_col).alias("__t")).limit(4 * per_label)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
