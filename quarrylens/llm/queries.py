@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrylens.llm import ann, bpe, jaccard, langid, omh, packing, substring, tokencount, toxicity, warc
+from quarrylens.llm.oracle import ORACLE  # noqa: F401  for the driver's entry
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(f):
