@@ -40,19 +40,23 @@ def insight_chunks(groups: DataFrame, budget: int, tokens: str = "size(split(x.e
     )
 
 
-def generate(groups: DataFrame, done: DataFrame, generator: Callable[[str], str], prompt_col: str = "prompt") -> DataFrame:
-    """Runs a generator over the groups that have no successful record yet; a failure is a record, not an error."""
+def generate(groups: DataFrame, done: DataFrame, generator: Callable[[str], str], prompt_col: str = "prompt", retries: int = 0) -> DataFrame:
+    """Runs a generator over the groups that have no successful record yet, again up to ``retries``
+    times after an error; a failure is a record, not an error."""
     open_groups = groups.join(done.filter("generation_status = 'success'").select("input_id"), "input_id", "left_anti")
 
     def run(batches):
         for pdf in batches:
             out = []
             for row in pdf.itertuples(index=False):
-                try:
-                    text = (generator(getattr(row, prompt_col)) or "").strip()
-                    out.append((row.input_id, text or None, "success" if text else "failed", None if text else "empty response"))
-                except Exception as error:  # noqa: BLE001  each record keeps its own failure
-                    out.append((row.input_id, None, "failed", str(error)))
+                text, problem = "", "empty response"
+                for _ in range(retries + 1):
+                    try:
+                        text = (generator(getattr(row, prompt_col)) or "").strip()
+                        break
+                    except Exception as error:  # noqa: BLE001  each record keeps its own failure
+                        problem = str(error)
+                out.append((row.input_id, text or None, "success" if text else "failed", None if text else problem))
             yield pd.DataFrame(out, columns=["input_id", "improvement_suggestion", "generation_status", "error_message"])
 
     return open_groups.select("input_id", prompt_col).mapInPandas(run, "input_id string, improvement_suggestion string, generation_status string, error_message string")

@@ -8,10 +8,13 @@ Corrected rows keep their theme_id.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarrylens.sources.readers import read_improvements, read_manifest, read_overlay
+
 FACET_ORDER = {"positive_evaluation": 1, "negative_evaluation": 2, "improvement": 3}
 
 
@@ -43,6 +46,10 @@ def envelope(ordered: DataFrame, number: int, size: int) -> dict:
     return {"data": rows, "page": {"number": number, "size": size, "total": total, "pages": -(-total // size)}}
 
 
+def error_envelope(code: str, message: str) -> dict:
+    return {"error": {"code": code, "message": message}}
+
+
 def valid_overlay(corrections: DataFrame) -> DataFrame:
     keys = F.col("product_id").isNotNull() & F.col("taxonomy_id").isNotNull()
     return corrections.filter(keys & F.col("to_sentiment").isin("positive", "negative")).groupBy("product_id", "taxonomy_id").agg(F.max("to_sentiment").alias("to_sentiment"))
@@ -113,6 +120,17 @@ class InsightRepository:
             raise ValueError("the batch is not ready")
         self.overlay = valid_overlay(self.overlay)
 
+    @classmethod
+    def open(cls, spark, folder: str, overlay_path: str, improvements_path: str, improvement_schema: str) -> InsightRepository:
+        """From a published folder: Parquet tables and validation.json; a missing file or a batch that is not ready fails."""
+        root = Path(folder)
+        needed = [root / f"{n}.parquet" for n in ("products", "product_facets", "themes", "theme_timeseries", "theme_reviews")] + [root / "validation.json", Path(overlay_path), Path(improvements_path)]
+        missing = [p.name for p in needed if not p.exists()]
+        if missing:
+            raise FileNotFoundError(f"missing: {missing}")
+        tables = [spark.read.parquet(str(p)) for p in needed[:5]]
+        return cls(*tables, read_improvements(spark, improvements_path, improvement_schema), read_overlay(spark, overlay_path), read_manifest(str(needed[5])))
+
     def _known(self, product_id) -> bool:
         return not self.products.filter(F.col("product_id") == product_id).isEmpty()
 

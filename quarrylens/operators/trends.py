@@ -18,6 +18,11 @@ def nearest_rank(column: str, *shares: float) -> list[Column]:
     return [F.expr(f"percentile_disc({p}) within group (order by {column})").alias(f"p{round(p * 100)}") for p in shares]
 
 
+def approximate_percentiles(column: str, *shares: float, accuracy: int = 1000) -> list[Column]:
+    """Percentiles within a relative error of 1 / accuracy, by a sketch that merges across tasks."""
+    return [F.percentile_approx(column, p, accuracy).alias(f"p{round(p * 100)}") for p in shares]
+
+
 def floor_percentile(column: str, share: float) -> Column:
     """The value at index floor((n - 1) * share): not the nearest rank.
 
