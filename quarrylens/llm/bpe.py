@@ -35,8 +35,8 @@ from quarrylens.llm.packed import frugal
 #: White space as the tokenizers' regular expressions have it.
 SPACE = "[\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
 #: Pre-tokens that a worker keeps encoded, and the characters of texts encoded together.
-KEPT = 300_000
-SLICE = 4_000_000
+KEPT = 600_000
+SLICE = 1_000_000
 
 
 def byte_symbols() -> list[str]:
@@ -54,10 +54,12 @@ class Codec:
         self.suffix = model.get("end_of_word_suffix") or ""
         vocabulary = dict(model["vocab"])
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        #: (left id, right id): rank, and the merged id by rank
-        self.rank = {(vocabulary[a], vocabulary[b]): r for r, (a, b) in enumerate(merges)}
+        #: rank by pair (left id * 2**16 + right id), pair and merged id by rank, pairs in ascending order with their ranks
+        self.pair = [vocabulary[a] << 16 | vocabulary[b] for a, b in merges]
+        self.rank = {p: r for r, p in enumerate(self.pair)}
         self.merged = [vocabulary[a + b] for a, b in merges]
-        self.pair = [(vocabulary[a], vocabulary[b]) for a, b in merges]
+        self.ranked = np.argsort(self.pair)
+        self.pairs = np.array(self.pair)[self.ranked]
         symbols = byte_symbols()
         self.inner = [vocabulary[s] for s in symbols]
         self.final = [vocabulary[s + self.suffix] for s in symbols]
@@ -66,13 +68,14 @@ class Codec:
         self.names = pa.array([names.get(i) for i in range(max(names) + 1)], pa.string())
         (split,) = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.split = regex.compile(split.replace("\\s", SPACE[1:-1]), flags=regex.V0)
-        self.spaces = regex.compile(SPACE + "+")
         self.specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
         self.known: dict[str, bytes] = {s: np.array([i], np.int32).tobytes() for s, i in self.special.items()}
 
     def normal(self, text: str) -> str:
+        # white space needs no normal form: the pattern drops it, and no match spans it
+        if text.isascii():
+            return text.lower()
         text = unicodedata.normalize("NFC", text)
-        text = self.spaces.sub(" ", text)
         # without the context rule for a final sigma
         return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
 
@@ -88,31 +91,39 @@ class Codec:
     def learn(self, words: Iterable[str]) -> None:
         """Encodes these pre-tokens together."""
         words = list(words)
-        symbol: list[int] = []
-        edges = [0]
-        for w in words:
-            raw = w.encode()
-            symbol += [self.inner[b] for b in raw[:-1]]
-            symbol.append(self.final[raw[-1]])
-            edges.append(len(symbol))
-        n = len(symbol)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        for e in edges[1:]:
-            after[e - 1] = -1
-        for e in edges[:-1]:
-            if e < n:
-                before[e] = -1
-        rank, places = self.rank, {}
-        for i in range(n - 1):
-            if after[i] >= 0 and (r := rank.get((symbol[i], symbol[i + 1]))) is not None:
-                places.setdefault(r, []).append(i)
+        raw = [w.encode() for w in words]
+        edges = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        first = np.array(self.inner)[data]
+        first[edges[1:] - 1] = np.array(self.final)[data[edges[1:] - 1]]
+        n = len(first)
+        # the index: places of each pair that has a rank, by rank
+        inside = np.ones(n, bool)
+        inside[edges[1:] - 1] = False
+        at = np.flatnonzero(inside)
+        code = first[at] << 16 | first[at + 1]
+        slot = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
+        hit = self.pairs[slot] == code
+        at, ranks = at[hit], self.ranked[slot[hit]]
+        order = np.argsort(ranks, kind="stable")
+        at, ranks = at[order], ranks[order]
+        cut = np.flatnonzero(np.diff(ranks, prepend=-1))
+        places = {r: p.tolist() for r, p in zip(ranks[cut].tolist(), np.split(at, cut[1:]), strict=True)} if len(at) else {}
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[edges[1:] - 1] = -1
+        before[edges[:-1]] = -1
+        symbol, after, before = first.tolist(), after.tolist(), before.tolist()
+        rank, pair, merged = self.rank.get, self.pair, self.merged
         active = list(places)
         heapq.heapify(active)
         while active:
             r = heapq.heappop(active)
-            left, right = self.pair[r]
-            new = self.merged[r]
-            for i in sorted(places.pop(r)):
+            left, right = pair[r] >> 16, pair[r] & 0xFFFF
+            new = merged[r]
+            high = new << 16
+            spots = places.pop(r)
+            spots.sort()
+            for i in spots:
                 j = after[i]
                 if j < 0 or symbol[i] != left or symbol[j] != right:
                     continue
@@ -120,17 +131,22 @@ class Codec:
                 k = after[i] = after[j]
                 if k >= 0:
                     before[k] = i
-                    if (x := rank.get((new, symbol[k]))) is not None:
-                        if x not in places:
-                            places[x] = []
+                    x = rank(high | symbol[k])
+                    if x is not None:
+                        if x in places:
+                            places[x].append(i)
+                        else:
+                            places[x] = [i]
                             heapq.heappush(active, x)
-                        places[x].append(i)
                 h = before[i]
-                if h >= 0 and (x := rank.get((symbol[h], new))) is not None:
-                    if x not in places:
-                        places[x] = []
-                        heapq.heappush(active, x)
-                    places[x].append(h)
+                if h >= 0:
+                    x = rank(symbol[h] << 16 | new)
+                    if x is not None:
+                        if x in places:
+                            places[x].append(h)
+                        else:
+                            places[x] = [h]
+                            heapq.heappush(active, x)
         ids = np.array(symbol, np.int32)
         live = ids >= 0
         stops = np.concatenate(([0], np.cumsum(live)))[edges] * 4
