@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrylens.llm.components import components
-from quarrylens.llm.packed import CHUNK_BYTES, ROW, bucket_count, frugal, frugal_group, pack, text_bytes, unpack
+from quarrylens.llm.packed import CHUNK_BYTES, ROW, bucket_count, frugal, frugal_group, pack, unpack
 from quarrylens.llm.storage import written
 from quarrylens.llm.words import U, Words, mix, runs, text_slices, windows
 
@@ -213,11 +213,10 @@ def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     weak = WEAK if weak is None else weak
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(text_col).alias("__row"), F.col(text_col).cast("string").alias("__text"))
-    total = text_bytes(docs, text_col)
+    sizes = docs.agg(F.sum(F.octet_length(text_col)).alias("total"), F.max(F.octet_length(text_col)).alias("longest")).first()
     # a word and its separator take two bytes or more, so no set is larger than this
-    longest = docs.agg(F.max(F.octet_length(text_col)).alias("n")).first()["n"] or 0
-    bands = Bands(num, den, max(2, longest // 2 + 2))
-    buckets = bucket_count(total, 12 << 20)
+    bands = Bands(num, den, max(2, (sizes["longest"] or 0) // 2 + 2))
+    buckets = bucket_count(sizes["total"] or 0, 12 << 20)
     found = written(texts.mapInArrow(frugal(_chunks(n, bands, buckets)), ROW).groupBy("dest").applyInPandas(frugal_group(_shared), FOUND))
     facts = found.filter(F.col("kind") == FACTS).select(F.when(F.col("a") != NONE, F.col("a")).alias("__id"), F.col("d").alias("__row"), F.col("b").alias("node"), F.col("c").alias("n_shingles"))
 

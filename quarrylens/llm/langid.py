@@ -55,6 +55,8 @@ def _fold() -> np.ndarray:
     letter = np.zeros(256, bool)
     letter[65:91] = letter[97:123] = letter[128:] = True
     values[~letter] = values[32]
+    # the second bytes of Latin capitals with marks count as those of their small letters
+    values[0x80:0x9F] = values[0xA0:0xBF]
     return values
 
 
@@ -143,8 +145,8 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 8, rate
         model.temperature = float(max(t for x, t in loss if x <= min(loss)[0] + 0.01))
         chance = softmax(raw / model.temperature)
         right = chance.max(axis=1)[chance.argmax(axis=1) == label[held]]
-        # of texts labelled rightly at most one in 500 is rejected, and none with a majority
-        model.threshold = float(min(0.5, np.quantile(right, 0.002))) if len(right) else 0.0
+        # rejected is what says hardly more than chance: at most one in 500 of the texts labelled rightly
+        model.threshold = float(min(0.5, 1.25 / len(languages), np.quantile(right, 0.002))) if len(right) else 0.0
     return model
 
 
@@ -170,9 +172,11 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
     new = ["lang_pred", "score", "accepted"]
     own = docs.drop(*new)
     schema = T.StructType(list(own.schema.fields)).add("lang_pred", T.StringType()).add("score", T.DoubleType()).add("accepted", T.BooleanType())
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     own = own.withColumn("__letters", F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for table, data, offsets in text_slices(batches, text_col, SLICE):
             letters = table["__letters"].to_numpy()
             if model is None:

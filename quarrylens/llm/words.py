@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 _BASES = (0x9E3779B97F4A7C15 | 5, 0xC2B2AE3D27D4EB4F | 5)  # odd, and 5 modulo 8 below
@@ -122,7 +123,8 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> It
         if not batch.num_rows:
             continue
         table = pa.Table.from_batches([batch])
-        _, offsets = buffers(table[column])
+        # lengths only: the bytes are not copied before they are sliced
+        offsets = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(table[column]), 0).to_numpy())))
         at = 0
         while at < table.num_rows:
             end = int(np.searchsorted(offsets, offsets[at] + most - size, "right")) - 1

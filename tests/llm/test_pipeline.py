@@ -3,6 +3,7 @@ import zlib
 import pytest
 
 import corpus_pipeline
+from quarrylens.llm.queries import QUERIES
 from quarrylens.llm.storage import written
 from tests.llm.test_jaccard import brute as groups
 from tests.llm.test_packing import check
@@ -63,3 +64,14 @@ def test_packing(stages):
 def test_run_is_the_stages(spark, sf, stages):
     key = lambda df: sorted((r.doc_id, r.start, r.length, zlib.crc32(r.ids)) for r in df.collect())
     assert sum(x[2] for x in key(corpus_pipeline.run(spark, sf))) == sum(x[2] for x in key(stages[5]))
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None, None, None), (2, "12 34", "en", "s", 5)], [(1, "the thing", "en", "s", 9), (None, "la chose", "fr", None, None), (1, "the thing", "en", "s", 9)]])
+def test_odd_tables(spark, tmp_path, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len({(r.doc_id, r.doc_tokens) for r in out}) <= len(rows)
+    for name in ("op1_language_id", "op8_toxicity", "op3_packing", "op5_bpe", "op2_substring_dedup", "op9_ngram_jaccard", "op6_order_minhash", "op10_token_counts"):
+        assert QUERIES[name](spark, str(tmp_path)).count() == len(rows)
