@@ -53,12 +53,15 @@ def product_table(reviews: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def theme_metrics(themes: DataFrame, products: DataFrame) -> DataFrame:
-    """Distinct reviews of each product and theme, in all and by sentiment."""
-    by = lambda s: F.countDistinct(F.when(F.col("sentiment") == s, F.col("review_id")))
+    """Reviews of each product and theme, in all and by sentiment.
+
+    ``themes`` has one row for each review, product and theme (review_themes), so counts are
+    plain sums made before the shuffle, not distinct counts."""
+    by = lambda s: F.count_if(F.col("sentiment") == s)
     total = products.select("product_id", "category", F.col("review_count").alias("eligible_review_count"))
     return (
         themes.groupBy("product_id", "taxonomy_id")
-        .agg(F.min("theme_name").alias("name"), F.countDistinct("review_id").alias("total_review_count"), *[by(s).alias(f"{s}_review_count") for s in ("positive", "negative", "neutral", "mixed")])
+        .agg(F.min("theme_name").alias("name"), F.count("*").alias("total_review_count"), *[by(s).alias(f"{s}_review_count") for s in ("positive", "negative", "neutral", "mixed")])
         .join(total, "product_id")
     )
 
@@ -100,13 +103,15 @@ def month_denominator(reviews: DataFrame) -> DataFrame:
 
 
 def theme_timeseries(themes: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Monthly review counts of positive and negative themes; reviews without a month drop out."""
+    """Monthly review counts of positive and negative themes; reviews without a month drop out.
+
+    A review is one row of a theme and of a month, so counts are plain sums."""
     dated = reviews.filter("review_month is not null").select("review_id", "product_id", "review_month").distinct()
     counts = (
         themes.filter(F.col("sentiment").isin(*SENTIMENTS))
         .join(dated, ["review_id", "product_id"])
         .groupBy("product_id", "taxonomy_id", "sentiment", "review_month")
-        .agg(F.countDistinct("review_id").alias("review_count"))
+        .agg(F.count("*").alias("review_count"))
     )
     return counts.join(month_denominator(reviews), ["product_id", "review_month"]).withColumn("ratio_value", guarded_ratio(F.col("review_count"), F.col("eligible_review_count")))
 
