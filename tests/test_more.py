@@ -1,11 +1,14 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quarrylens import config
-from quarrylens.operators import improve, prompts
+from quarrylens.functions import scalars
+from quarrylens.operators import improve, prompts, vectors
 from quarrylens.operators.repository import InsightRepository, error_envelope
+from quarrylens.sources import readers, writers
 
 
 def test_config(tmp_path):
@@ -67,3 +70,49 @@ def test_compact_clusters(spark):
     df = spark.createDataFrame([("c", "cat", 1, 1, [("a", 2), (" ", 1), (None, 4)]), ("d", "cat", 1, 1, None)], "cluster_id string, category string, review_count long, product_count long, top_topic_raw array<struct<topic_raw:string,count:bigint>>")
     assert {r.cluster_id: r.topics for r in prompts.compact_clusters(df).collect()} == {"c": ["a (2)"], "d": []}
     assert prompts.packets(df).select(F.size(F.split("packet", "\n"))).first()[0] == 2
+
+
+def test_columns_and_vectors(spark, tmp_path):
+    df = spark.createDataFrame([(1, [1.0, 2.0], "b")], "id int, v array<double>, text_normalized string")
+    df.write.parquet(str(tmp_path / "v"))
+    assert readers.read_vectors(spark, str(tmp_path / "v"), "id", "v", 2).count() == 1
+    with pytest.raises(Exception, match="components"):
+        readers.read_vectors(spark, str(tmp_path / "v"), "id", "v", 3).collect()
+    assert df.select(readers.first_available(df, "text_raw", "text_normalized", "text")).first()[0] == "b"
+    with pytest.raises(ValueError, match="none of"):
+        readers.first_available(df, "x")
+    with pytest.raises(ValueError, match="missing columns"):
+        readers.require_columns(df, {"id", "y"})
+    assert readers.require_columns(df, {"id"}) is df
+    writers.write_csv(df.select("id"), str(tmp_path / "c"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).first().id == "1"
+    writers.write_sidecar(str(tmp_path / "s.json"), {"a": 1})
+    assert json.loads((tmp_path / "s.json").read_text()) == {"a": 1}
+    writers.publish(str(tmp_path / "p"), lambda folder: writers.write_sidecar(f"{folder}/x.json", {}))
+    assert (tmp_path / "p" / "x.json").exists()
+    with pytest.raises(FileExistsError):
+        writers.publish(str(tmp_path / "p"), lambda folder: None)
+
+
+def test_theme_clusters_keep_empty_facets(spark):
+    rows = [("p", "positive", i, f"r{i}", [1.0, 0.01 * i]) for i in range(4)] + [("p", "negative", 9, "r9", [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "product_id string, facet string, item_id int, review_id string, v array<double>")
+    got = {r.facet: (r.theme_count, r.status) for r in vectors.theme_clusters(df, "v", 0.9, 3).collect()}
+    assert got == {"positive": (1, "ready"), "negative": (0, "empty"), "improvement": (0, "empty")}
+
+
+def test_representative_text_and_encoder(spark):
+    df = spark.createDataFrame([(1, "Noise", ["noise", "Size", "size", "Speed"], "it hums")], "id int, c string, t array<string>, e string")
+    assert df.select(vectors.representative_text(F.col("c"), F.col("t"), F.col("e"), 3)).first()[0] == "Noise; Size | it hums"
+    made = vectors.encode(df, "id", "c", lambda: lambda texts: np.array([[3.0, 4.0]] * len(texts))).first()
+    assert made.embedding == pytest.approx([0.6, 0.8])
+
+
+def test_titles_and_maps(spark):
+    one = spark.range(1)
+    pick = lambda c: one.select(c).first()[0]
+    assert pick(scalars.theme_title(F.lit("negative"), F.lit("Noise"))) == "Concern: Noise" and pick(scalars.keyed(F.lit(1), F.lit(None).cast("string"))) is None
+    assert pick(scalars.entails(F.lit(0.5), F.lit(0.5), F.lit(0.1))) is False and pick(scalars.ascii_fold(F.lit("Café"))) == "Cafe"
+    assert pick(scalars.canonical_map(F.create_map(F.lit("b"), F.lit(1), F.lit("a"), F.lit(2))))[0].key == "a"
+    with pytest.raises(Exception, match="out of range"):
+        pick(scalars.sentiment_label(F.lit(1.5)))
