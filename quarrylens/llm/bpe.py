@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quarrylens.llm.packed import frugal
+from quarrylens.llm.packed import frugal, small_batches
 
 #: White space as the tokenizers' regular expressions have it.
 SPACE = "[\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
@@ -195,7 +195,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
                 yield _with_column(part, ids_col, ids)
                 at = end
 
-    return own.mapInArrow(frugal(run), schema)
+    return small_batches(own).mapInArrow(frugal(run), schema)
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

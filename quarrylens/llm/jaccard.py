@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrylens.llm.components import components
-from quarrylens.llm.packed import CHUNK_BYTES, ROW, bucket_count, frugal, frugal_group, pack, unpack
+from quarrylens.llm.packed import CHUNK_BYTES, ROW, bucket_count, frugal, frugal_group, pack, small_batches, unpack
 from quarrylens.llm.storage import written
 from quarrylens.llm.words import U, Words, mix, runs, text_slices, windows
 
@@ -217,7 +217,7 @@ def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # a word and its separator take two bytes or more, so no set is larger than this
     bands = Bands(num, den, max(2, (sizes["longest"] or 0) // 2 + 2))
     buckets = bucket_count(sizes["total"] or 0, 12 << 20)
-    found = written(texts.mapInArrow(frugal(_chunks(n, bands, buckets)), ROW).groupBy("dest").applyInPandas(frugal_group(_shared), FOUND))
+    found = written(small_batches(texts).mapInArrow(frugal(_chunks(n, bands, buckets)), ROW).groupBy("dest").applyInPandas(frugal_group(_shared), FOUND))
     facts = found.filter(F.col("kind") == FACTS).select(F.when(F.col("a") != NONE, F.col("a")).alias("__id"), F.col("d").alias("__row"), F.col("b").alias("node"), F.col("c").alias("n_shingles"))
 
     held = found.filter(F.col("kind") == RECORDS).select(F.col("a").alias("name"), F.col("b").alias("node"), F.col("c").alias("f"), F.col("d").alias("pair"), F.col("e").alias("own"))

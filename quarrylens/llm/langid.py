@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrylens.llm.packed import frugal
+from quarrylens.llm.packed import frugal, small_batches
 from quarrylens.llm.sampling import smallest_hashes
 from quarrylens.llm.words import U, byte_values, text_slices
 
@@ -162,7 +162,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
             found = [features(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.int32).tobytes() for x, _ in found]), pa.array([x.tobytes() for _, x in found]), table["__y"].combine_chunks()], ["rows", "share", "y"])
 
-    samples = chosen.mapInArrow(frugal(run), "rows binary, share binary, y string").collect()
+    samples = small_batches(chosen).mapInArrow(frugal(run), "rows binary, share binary, y string").collect()
     samples = sorted((r.y, bytes(r.rows), bytes(r.share)) for r in samples)
     return fit([(np.frombuffer(a, np.int32), np.frombuffer(b, np.float32), y) for y, a, b in samples]) if samples else None
 
@@ -191,4 +191,4 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
                 table = table.append_column(name, column)
             yield from table.to_batches()
 
-    return own.mapInArrow(frugal(run), schema)
+    return small_batches(own).mapInArrow(frugal(run), schema)

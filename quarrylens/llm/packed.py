@@ -67,6 +67,20 @@ def bucket_count(total: int, per_bucket: int = 8 << 20) -> int:
     return max(8, -(-total // each))
 
 
+#: Rows of whole texts that go to Python in one Arrow batch.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session's Arrow batches lowered to BATCH_ROWS rows: the default of 10,000
+    is meant for narrow rows, and a batch of texts is held several times outside the heap."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(key))
+    if not 0 < now <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def rows(*groups: tuple) -> pd.DataFrame:
     return pd.DataFrame(list(groups), columns=["dest", "src", "kind", "blob"])
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrylens.llm.packed import frugal
+from quarrylens.llm.packed import frugal, small_batches
 from quarrylens.llm.bpe import byte_symbols
 
 #: Remainders dealt together.
@@ -190,4 +190,4 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         if waiting:
             yield rows(dealt())
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(frugal(run), PIECES)
+    return small_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))).mapInArrow(frugal(run), PIECES)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrylens.llm.packed import CHUNK_BYTES, ROW, bucket_count, frugal, frugal_group, pack, rows, steps, text_bytes, unpack, unsteps
+from quarrylens.llm.packed import CHUNK_BYTES, ROW, bucket_count, frugal, frugal_group, pack, rows, small_batches, steps, text_bytes, unpack, unsteps
 from quarrylens.llm.words import U, Words, mix, runs, text_slices, windows
 
 NONE = np.iinfo(np.int64).max
@@ -230,7 +230,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, min_words: int =
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(text_col).alias("__row"), F.col(text_col).cast("string").alias("__text"))
     buckets = bucket_count(text_bytes(docs, text_col))
     length = first
-    state = texts.mapInArrow(frugal(_first_level(length, buckets)), ROW).groupBy("dest").applyInPandas(frugal_group(_repeated), ROW)
+    state = small_batches(texts).mapInArrow(frugal(_first_level(length, buckets)), ROW).groupBy("dest").applyInPandas(frugal_group(_repeated), ROW)
     while True:
         longer = min(2 * length, min_words)
         last = longer == min_words

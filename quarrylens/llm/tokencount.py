@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quarrylens.llm.packed import frugal
+from quarrylens.llm.packed import frugal, small_batches
 from quarrylens.llm.packing import ByteCodec, byte_codec
 
 #: Pre-tokens of a new leaf, and of a leaf that has grown so far that the tree is built anew.
@@ -182,4 +182,4 @@ def recount(docs: DataFrame, path: str, text_col: str = "text", edits_col: str =
                 kinds = [pa.string() if isinstance(t, T.StringType) else pa.int64() for t in new.values()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))], [*batch.schema.names, *new])
 
-    return own.mapInArrow(frugal(run), schema)
+    return small_batches(own).mapInArrow(frugal(run), schema)

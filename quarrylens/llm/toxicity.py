@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrylens.llm.packed import frugal
+from quarrylens.llm.packed import frugal, small_batches
 from quarrylens.llm.sampling import smallest_hashes
 from quarrylens.llm.words import Words, mix, runs, text_slices
 
@@ -203,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 ["id", "y", "terms", "counts"],
             )
 
-    found = sorted((r.id, r.y, bytes(r.terms), bytes(r.counts)) for r in chosen.mapInArrow(frugal(run), "id long, y int, terms binary, counts binary").collect())
+    found = sorted((r.id, r.y, bytes(r.terms), bytes(r.counts)) for r in small_batches(chosen).mapInArrow(frugal(run), "id long, y int, terms binary, counts binary").collect())
     if not found:
         return None
     texts = [(i, y, np.frombuffer(t, np.uint64), np.frombuffer(c, np.int32)) for i, y, t, c in found]
@@ -237,4 +237,4 @@ def score(docs: DataFrame, index: Index | None, text_col: str = "text") -> DataF
             table = table.append_column("score", pa.array(chance)).append_column("evidence", pa.array(evidence, pa.list_(pa.int64())))
             yield from table.to_batches()
 
-    return own.mapInArrow(frugal(run), schema)
+    return small_batches(own).mapInArrow(frugal(run), schema)

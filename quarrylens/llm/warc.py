@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrylens.llm.packed import frugal
+from quarrylens.llm.packed import frugal, small_batches
 from quarrylens.llm.storage import shared_folder
 
 CAPTURE = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary, file string, offset long, length long"
@@ -118,7 +118,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                     archive, size = archive + 1, 0
             yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary()), pa.array(numbers, pa.int64())], ["member", "archive"])
 
-    out = joined.mapInArrow(frugal(run), "member binary, archive long").select(F.col("member").cast("string").alias("value"), "archive")
+    out = small_batches(joined).mapInArrow(frugal(run), "member binary, archive long").select(F.col("member").cast("string").alias("value"), "archive")
     out.write.partitionBy("archive").option("encoding", "ISO-8859-1").option("lineSep", END.decode("latin-1")).text(path)
 
 
