@@ -35,7 +35,7 @@ from quarrylens.llm.words import U, byte_values, text_slices
 BITS = 15
 WIDTH = 16
 GRAMS = (2, 3, 4)
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 @dataclass

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Text bytes of a chunk: bounds what a task holds at once (about 25 times as much memory).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 ROW = "dest long, src long, kind int, blob binary"
 
 

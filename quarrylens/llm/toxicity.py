@@ -33,7 +33,7 @@ from quarrylens.llm.packed import frugal, small_batches
 from quarrylens.llm.sampling import smallest_hashes
 from quarrylens.llm.words import Words, mix, runs, text_slices
 
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Only letters make words: ASCII letters and all beyond ASCII.
 NOT_LETTER = np.ones(256, bool)
 NOT_LETTER[65:91] = NOT_LETTER[97:123] = NOT_LETTER[128:] = False

@@ -42,21 +42,29 @@ def byte_values(lane: int, lower: bool) -> np.ndarray:
     return values
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+STEP = 2048
 
 
-def powers(lane: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(base**i, base**-i) modulo 2**64 for i below at least n."""
-    have = _powers.get(lane)
-    if have is None or len(have[0]) < n:
-        size = -(-n >> 18) + 1 << 18  # not the next power of two: the tables are large
-        both = []
-        for b in (_BASES[lane], pow(_BASES[lane], -1, 1 << 64)):
-            steps = np.full(size, U(b))
-            steps[0] = 1
-            both.append(np.cumprod(steps))
-        have = _powers[lane] = tuple(both)
-    return have
+def _two_levels(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**(STEP * i) up to n, and base**j below STEP: together any power, with small tables."""
+    out = []
+    for b, size in ((pow(base, STEP, 1 << 64), n // STEP + 1), (base, STEP)):
+        steps = np.full(size, U(b))
+        steps[0] = 1
+        out.append(np.cumprod(steps))
+    return out[0], out[1]
+
+
+def powers(lane: int, n: int) -> np.ndarray:
+    """base**i modulo 2**64 for i below n."""
+    high, low = _two_levels(_BASES[lane], n)
+    return (high[:, None] * low).ravel()[:n]
+
+
+def inverse_powers(lane: int, at: np.ndarray, n: int) -> np.ndarray:
+    """base**-i modulo 2**64 for the given i, all below n."""
+    high, low = _two_levels(pow(_BASES[lane], -1, 1 << 64), n)
+    return high[at // STEP] * low[at % STEP]
 
 
 class Words:
@@ -84,12 +92,15 @@ class Words:
         """Of whole words, or of their first so many bytes."""
         if not len(self.starts):
             return np.zeros(0, U)
-        up, down = powers(lane, len(self.data) + 1)
-        sums = np.empty(len(self.data) + 1, U)
+        n = len(self.data)
+        sums = np.empty(n + 1, U)
         sums[0] = 0
-        np.cumsum(byte_values(lane, lower)[self.data] * up[: len(self.data)], out=sums[1:])
+        weighted = powers(lane, n)
+        weighted *= byte_values(lane, lower)[self.data]
+        np.cumsum(weighted, out=sums[1:])
+        del weighted
         ends = self.ends if first is None else np.minimum(self.ends, self.starts + first)
-        return mix((sums[ends] - sums[self.starts]) * down[self.starts])
+        return mix((sums[ends] - sums[self.starts]) * inverse_powers(lane, self.starts, n + 1))
 
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.count)), self.count)
