@@ -9,9 +9,14 @@ file and any store that Spark writes to will do.  Archives are cut at ``archive_
 
 ``read_archives`` parses the files again and returns each record with its file, offset and
 length.  ``build_index`` sorts captures by reversed-host URL key into compressed blocks and
-keeps a sparse directory: the first key of each block, its file, offset and length.  A
-``CaptureIndex`` finds a URL by binary search in the directory, reads one block's range,
-searches in it, and reads the record's range.
+keeps a sparse directory: the first and last key of each block, its number and its lines.  A
+``CaptureIndex`` finds a URL by binary search in the directory, reads one block, searches in
+it, and reads the record's range; ``fetch`` does so for a table of URLs, in batches: each block
+is opened once for all keys that the directory sends to it, and the ranges found are read file
+by file in the order of their offsets, near ones in one read.  ``round_trip`` writes archives,
+indexes all their captures and gets every row through the index.
+
+Ranges are read in tasks by pyarrow's file systems (local, HDFS, S3, GCS, ABFS).
 
 Skew: pages of one payload meet only as (digest, id) pairs, summed before they are shuffled;
 the page rows themselves are joined by digest, which Spark splits where one digest is hot.
@@ -32,19 +37,25 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrylens.llm.packed import frugal, small_batches
-from quarrylens.llm.storage import shared_folder
+from quarrylens.llm.storage import shared_folder, written
 
 CAPTURE = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary, file string, offset long, length long"
 #: The gzip member that ends a record: two blank lines.
 END = gzip.compress(b"\r\n\r\n", mtime=0)
+#: What a line of the index holds.
+LINE = ("key", "page_id", "url", "file", "offset", "length", "record_type", "payload_digest")
+#: Bytes of a file that one task reads, and of one read.
+UNIT = 4 << 20
 
 
 def url_key(url: str) -> str:
@@ -162,33 +173,44 @@ def parse(record: bytes) -> dict:
     }
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """All records below ``path``: fields, payload (null for revisits), file, offset and length."""
+def _batch(rows: list[dict]) -> pa.RecordBatch:
+    """Rows of CAPTURE."""
+    names, kinds = zip(*(f.split() for f in CAPTURE.split(", ")), strict=True)
+    types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], types[k]) for n, k in zip(names, kinds, strict=True)], list(names))
+
+
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """All records below ``path``: fields, payload (null for revisits), file, offset and length.
+
+    Without ``payloads`` they are checked against their digests, but null."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in CAPTURE.split(", ")]
-        kinds = [{"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[f.split()[1]] for f in CAPTURE.split(", ")]
         for batch in batches:
             for file, content in zip(batch.column(0), batch.column(1), strict=True):
                 rows, size = [], 0
                 for offset, length, record in _members(content.as_py()):
-                    rows.append(parse(record) | {"file": file.as_py(), "offset": offset, "length": length})
-                    size += len(record)
+                    rows.append(parse(record) | {"file": file.as_py(), "offset": offset, "length": length} | ({} if payloads else {"payload": None}))
+                    size += len(record) if payloads else 256
                     if size > 4 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds, strict=True)], names)
+                        yield _batch(rows)
                         rows, size = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds, strict=True)], names)
+                    yield _batch(rows)
 
     return files.mapInArrow(frugal(run), CAPTURE)
 
 
+def _keys(url: str):
+    return F.udf(lambda u: url_key(u or ""), "string")(F.col(url))
+
+
 def build_index(captures: DataFrame, path: str, block_lines: int = 3000) -> None:
     """Writes the two levels below ``path``: ``blocks`` (sorted lines, compressed) and
     ``directory`` (first key, block number, lines) sorted by key."""
-    key = F.udf(lambda u: url_key(u or ""), "string")
-    lines = captures.select(key("url").alias("key"), "page_id", "url", "file", "offset", "length", "record_type", "payload_digest")
+    # written, as range partitioning reads its input twice
+    lines = written(captures.select(_keys("url").alias("key"), *LINE[1:]))
     ordered = lines.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +224,7 @@ def build_index(captures: DataFrame, path: str, block_lines: int = 3000) -> None
 
         for batch in batches:
             for row in batch.to_pylist():
-                held.append((row["key"], json.dumps([row[c] for c in ("key", "page_id", "url", "file", "offset", "length", "record_type", "payload_digest")], ensure_ascii=False)))
+                held.append((row["key"], json.dumps([row[c] for c in LINE], ensure_ascii=False)))
                 if len(held) == block_lines:
                     yield block()
                     held.clear()
@@ -216,6 +238,23 @@ def build_index(captures: DataFrame, path: str, block_lines: int = 3000) -> None
     stored.select("first", "last", "block", "lines").write.parquet(f"{path}/directory")
 
 
+def _blocks(directory: list[tuple[str, str, int]], firsts: list[str], key: str) -> list[int]:
+    at, out = max(0, bisect.bisect_left(firsts, key) - 1), []
+    while at < len(directory) and firsts[at] <= key:
+        if directory[at][1] >= key:
+            out.append(directory[at][2])
+        at += 1
+    return out
+
+
+def _within(data: bytes, wanted: list[str]) -> Iterator[list]:
+    """A block's lines with one of the keys, found by binary search."""
+    rows = [json.loads(x) for x in zlib.decompress(data).decode().split("\n")]
+    keys = [r[0] for r in rows]
+    for key in wanted:
+        yield from rows[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]
+
+
 class CaptureIndex:
     """Point lookups: a binary search in the sparse directory, one block, one record's range.
 
@@ -226,19 +265,17 @@ class CaptureIndex:
         self.directory = sorted((r["first"], r["last"], r["block"]) for r in spark.read.parquet(f"{path}/directory").collect())
         self.firsts = [d[0] for d in self.directory]
 
+    def blocks(self, key: str) -> list[int]:
+        """The blocks that may hold a key."""
+        return _blocks(self.directory, self.firsts, key)
+
     def lookup(self, url: str) -> list[dict]:
         """Captures of a URL (of all URLs with its key), in the order of their ids."""
         key = url_key(url)
-        at = max(0, bisect.bisect_left(self.firsts, key) - 1)
         found = []
-        while at < len(self.directory) and self.firsts[at] <= key:
-            if self.directory[at][1] >= key:
-                data = self.spark.read.parquet(f"{self.path}/blocks").filter(F.col("block") == self.directory[at][2]).select("data").first()["data"]
-                rows = [json.loads(x) for x in zlib.decompress(bytes(data)).decode().split("\n")]
-                keys = [r[0] for r in rows]
-                for r in rows[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]:
-                    found.append(dict(zip(("key", "page_id", "url", "file", "offset", "length", "record_type", "payload_digest"), r, strict=True)))
-            at += 1
+        for block in self.blocks(key):
+            data = self.spark.read.parquet(f"{self.path}/blocks").filter(F.col("block") == block).select("data").first()["data"]
+            found += [dict(zip(LINE, r, strict=True)) for r in _within(bytes(data), [key])]
         return found
 
     def record(self, capture: dict) -> dict:
@@ -254,11 +291,72 @@ class CaptureIndex:
         return parse(next(_members(data))[2])
 
 
-def round_trip(pages: DataFrame, **columns: str) -> DataFrame:
-    """Archives of ``pages`` in the shared folder, read back."""
-    path = shared_folder(pages.sparkSession)
-    write_archives(pages, path, **columns)
-    return read_archives(pages.sparkSession, path)
+def _ranges(ranges: list[tuple[int, int]]) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """Ascending (offset, length) as reads: start, bytes and the ranges in them. What lies
+    between two ranges of a read is less than 64 kB."""
+    held: list[tuple[int, int]] = []
+    for at, n in ranges:
+        if held and (at - sum(held[-1]) >= 1 << 16 or at + n - held[0][0] > UNIT):
+            yield held[0][0], sum(held[-1]) - held[0][0], held
+            held = []
+        held.append((at, n))
+    if held:
+        yield held[0][0], sum(held[-1]) - held[0][0], held
+
+
+def fetch(spark: SparkSession, path: str, urls: DataFrame, url_col: str = "url") -> DataFrame:
+    """The records of all captures whose key is that of one of ``urls``, each once, by the index
+    below ``path``: directory, blocks, and the records' ranges."""
+    index = CaptureIndex(spark, path)
+    shared = spark.sparkContext.broadcast((index.directory, index.firsts))
+    keys = urls.select(_keys(url_col).alias("key")).distinct()
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        directory, firsts = shared.value
+        for batch in batches:
+            found = [(b, k) for k in batch.column(0).to_pylist() for b in _blocks(directory, firsts, k)]
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int64()), pa.array([k for _, k in found], pa.string())], ["block", "key"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, wanted in zip(batch.column(0), batch.column(1), strict=True):
+                rows = list(_within(data.as_py(), wanted.as_py()))
+                kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], list(LINE))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, opened, name = None, None, None
+        for batch in batches:
+            lines = batch.to_pylist()
+            for file, own in groupby(lines, lambda r: r["file"]):
+                if file != name:
+                    store, where = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", file))
+                    opened, name = store.open_input_file(where), file
+                own = list(own)
+                by = {r["offset"]: r for r in own}
+                for start, size, inside in _ranges([(r["offset"], r["length"]) for r in own]):
+                    data, rows = opened.read_at(size, start), []
+                    for at, n in inside:
+                        row = parse(next(_members(data[at - start : at - start + n]))[2])
+                        if any(row[c] != by[at][c] for c in ("page_id", "url", "record_type", "payload_digest")):
+                            raise ValueError("index and record differ")
+                        rows.append(row | {"file": file, "offset": at, "length": n})
+                    yield _batch(rows)
+
+    asked = keys.mapInArrow(frugal(route), "block long, key string").groupBy("block").agg(F.collect_list("key").alias("keys"))
+    blocks = spark.read.parquet(f"{path}/blocks").select("block", "data")
+    line = "key string, page_id long, url string, file string, offset long, length long, record_type string, payload_digest string"
+    found = small_batches(blocks.join(asked, "block").select("data", "keys")).mapInArrow(frugal(search), line).drop("key")
+    dealt = found.repartition("file", F.floor(F.col("offset") / UNIT)).sortWithinPartitions("file", "offset")
+    return dealt.mapInArrow(frugal(read), CAPTURE)
+
+
+def round_trip(pages: DataFrame, url_col: str = "url", **columns: str) -> DataFrame:
+    """Archives of ``pages`` in the shared folder, indexed, and read back through the index."""
+    spark, path = pages.sparkSession, shared_folder(pages.sparkSession)
+    write_archives(pages, path, url_col=url_col, **columns)
+    build_index(read_archives(spark, path, payloads=False), f"{path}-index")
+    return fetch(spark, f"{path}-index", pages, url_col)
 
 
 def revisits_resolved(captures: DataFrame) -> DataFrame:

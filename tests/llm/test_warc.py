@@ -84,6 +84,19 @@ def test_index_and_range_reads(spark, pages, tmp_path):
     assert index.lookup("http://nowhere.example/") == []
 
 
+def test_round_trip_goes_through_the_index(spark, pages, monkeypatch):
+    built, build = [], warc.build_index
+    monkeypatch.setattr(warc, "build_index", lambda captures, path: (built.append(path), build(captures, path, block_lines=2)))
+    hot = [(100 + i, "http://hot.example/", f"<p>{i % 4}</p>") for i in range(9)] + [(100, "http://hot.example/", "<p>0</p>")]
+    every = spark.createDataFrame([*PAGES, *hot], "page_id long, url string, html string")
+    # equal rows of a hot URL, and more blocks of it than one
+    got = rows(warc.round_trip(every))
+    assert sorted({x for x in got}, key=str) == sorted({x for x in brute([*PAGES, *hot])}, key=str) and len(got) == len(PAGES) + len(hot)
+    assert sum(r.lines for r in spark.read.parquet(f"{built[0]}/directory").collect()) == len(PAGES) + len(hot)
+    some = warc.fetch(spark, built[0], spark.createDataFrame([("http://b.example.org:8080/x",), ("http://nowhere.example/",), (None,)], "url string"))
+    assert sorted(r.page_id for r in some.collect()) == [3, 4, 5]
+
+
 def test_url_keys():
     assert warc.url_key("http://www.Example.com/a?b#c") == "com,example)/a?b"
     assert warc.url_key("https://u:p@B.example.org:8080") == "org,example,b:8080)/"
