@@ -1,10 +1,13 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 Each of ``tables`` pseudo-rotations (three rounds of random signs and a fast Hadamard
-transform) sends a unit vector to the nearest signed axis: its bucket.  A query looks into the
-buckets of its ``probes`` nearest signed axes in every table; all vectors found there are
-scored exactly in double precision and the ``k`` best are kept.  Vectors of unequal length get
-one more coordinate that makes them equally long, which keeps the order of inner products.
+transform) sends a vector's direction to the nearest signed axis: its bucket.  A query looks
+into the buckets of its ``probes`` nearest signed axes in every table; all vectors found there
+are scored exactly in double precision and the ``k`` best are kept.  Vectors are banded by
+length, each band ``BAND`` times as long as the next; a band is an index of its own, in which
+the order of directions is nearly that of inner products, and every query searches all bands.
+A band of up to ``k * 50`` entries is searched whole.  Queries for which fewer than ``k``
+others were found although there are more are searched again, exactly, over all vectors.
 
 Equal vectors are one entry of the index with their smallest ``k + 1`` ids, which is all that
 any list of k can show.  A bucket of more than ``BLOCK`` vectors or queries is dealt into
@@ -15,8 +18,7 @@ Recall against brute force is measured in the tests.
 
 Defined results: vectors that are null, zero or hold a null or non-finite component take no
 part, nor do rows with a null id; vectors must have one length; ties go to the smaller id;
-with fewer than k other vectors found, the list is shorter (all are found in tables of up to
-``k * 50`` vectors, where every bucket is probed); an empty table gives no rows.
+the list is shorter only where there are fewer than k others; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ from quarrylens.llm.packed import frugal
 from quarrylens.llm.storage import written
 
 BLOCK = 4096
+#: The greatest ratio of lengths in a band.
+BAND = 1.05
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -82,47 +86,58 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     entries = first.groupBy("key").agg(F.min("v").alias("v"), F.sort_array(F.collect_list("id")).alias("ids"))
     entries = written(entries.select(F.element_at("ids", 1).alias("entry"), "key", "v", "ids"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    facts = entries.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width"), F.max(norm).alias("high"), F.min(norm).alias("low")).first()
+    facts = entries.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width"), F.max(norm).alias("high"), F.sum(F.size("ids")).alias("ids")).first()
     out = "query_id long, rank int, vec_id long, score double"
     if not facts["n"]:
         return vectors.sparkSession.createDataFrame([], out)
-    width, high = facts["width"], facts["high"]
-    equal = facts["high"] - facts["low"] <= 1e-5 * high
-    if facts["n"] <= 50 * k:
-        tables, probes = 1, 1 << 30
+    width = facts["width"]
+    # bands by what their lengths fall short of the greatest; a row for each that is there
+    band = F.coalesce(F.floor((F.lit(math.log(facts["high"])) - F.log(norm)) / math.log(BAND)), F.lit(-1)).alias("band")
+    counts = {r["band"]: r["n"] for r in entries.groupBy(band).agg(F.count("*").alias("n")).collect()}
+    place = {b: i for i, b in enumerate(sorted(counts))}
+    whole = {b for b, n in counts.items() if n <= 50 * k}
     queries = rows.filter(F.col("id") % every == 0).select("key", F.col("id").alias("query_id")).join(entries.select("key", "entry"), "key").select("entry", "query_id")
     asking = entries.join(queries.select("entry").distinct(), "entry", "left_semi")
     # components of a float column are exact in 32 bits
     kind = "<f4" if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else "<f8"
 
+    def rows_of(slot: int, bucket: np.ndarray, entry: pa.Array, raw: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), slot, np.int32)), pa.array(bucket.astype(np.int32)), entry, raw], ["slot", "bucket", "entry", "raw"])
+
     def hashed(probe: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for at in range(0, batch.num_rows, 1024):
                     part = batch.slice(at, 1024)
-                    x = part.column(1).flatten().to_numpy().reshape(-1, width)
-                    raw = pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
-                    # equally long vectors: the rest of the length goes into one more coordinate, 0 for queries
-                    unit = x / np.linalg.norm(x, axis=1, keepdims=True) if equal else np.concatenate((x / high, (np.zeros if probe else lambda n: np.sqrt(np.maximum(0, 1 - ((x / high) ** 2).sum(axis=1))))(len(x))[:, None]), 1)
+                    x, bands = part.column(1).flatten().to_numpy().reshape(-1, width), part.column(2).to_numpy()
+                    entry, raw = part.column(0), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
+                    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+                    # queries look into every band, entries are in their own
+                    inside = {b: None if probe else pa.array(np.flatnonzero(bands == b)) for b in (place if probe else np.unique(bands).tolist())}
+                    for b in inside.keys() & whole:
+                        own = (entry, raw) if probe else (entry.take(inside[b]), raw.take(inside[b]))
+                        yield rows_of(place[b] * tables, np.zeros(len(own[0])), *own)
+                    if not inside.keys() - whole:
+                        continue
                     for table in range(tables):
-                        near = axes(unit, table, seed, min(probes, 1 << 20) if probe else 1)
-                        for j in range(near.shape[1]):
-                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), table, np.int32)), pa.array(near[:, j].astype(np.int32)), part.column(0), raw], ["slot", "bucket", "entry", "raw"])
+                        near = axes(unit, table, seed, probes if probe else 1)
+                        for b in inside.keys() - whole:
+                            for j in range(near.shape[1]):
+                                if probe:
+                                    yield rows_of(place[b] * tables + table, near[:, j], entry, raw)
+                                else:
+                                    yield rows_of(place[b] * tables + table, near[inside[b].to_numpy(), j], entry.take(inside[b]), raw.take(inside[b]))
 
         return run
 
-    schema = "slot int, bucket int, entry long, raw binary"
-    index = written(entries.select("entry", "v").mapInArrow(frugal(hashed(False)), schema))
-    probing = written(asking.select("entry", "v").mapInArrow(frugal(hashed(True)), schema))
-    # a row for each bucket of each table: as many as tables times axes
-    parts = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    sizes = index.groupBy("slot", "bucket").agg(F.count("*").alias("n")).join(probing.groupBy("slot", "bucket").agg(F.count("*").alias("m")), ["slot", "bucket"])
-    sizes = F.broadcast(written(sizes.select("slot", "bucket", parts("n").alias("n"), parts("m").alias("m"))))
-    block = lambda n: F.pmod(F.xxhash64("entry"), F.col(n)).cast("int")
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    index = index.join(sizes, ["slot", "bucket"]).select("slot", "bucket", "entry", "raw", block("n").alias("i"), upto("m").alias("j"))
-    probing = probing.join(sizes, ["slot", "bucket"]).select("slot", "bucket", "entry", "raw", block("m").alias("j"), upto("n").alias("i"))
+    def unhashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(1).flatten().to_numpy().reshape(-1, width)
+            yield rows_of(0, np.zeros(len(x)), batch.column(0), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary()))
 
+    schema = "slot int, bucket int, entry long, raw binary"
+    index = written(entries.select("entry", "v", band).mapInArrow(frugal(hashed(False)), schema))
+    probing = written(asking.select("entry", "v", band).mapInArrow(frugal(hashed(True)), schema))
     def score(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         entry, found, scores = [], [], []
         if len(asked) and len(held):
@@ -140,9 +155,6 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
                     scores.append(s[i, own].tobytes())
         return pd.DataFrame({"entry": np.array(entry, np.int64), "found": found, "scores": scores})
 
-    by = ["slot", "bucket", "i", "j"]
-    partial = probing.groupBy(*by).cogroup(index.groupBy(*by)).applyInPandas(score, "entry long, found binary, scores binary")
-
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         names, scores = (np.frombuffer(b"".join(group[c]), t) for c, t in (("found", np.int64), ("scores", np.float64)))
         names, at = np.unique(names, return_index=True)
@@ -150,7 +162,27 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         last = np.sort(scores)[-min(k + 1, len(scores))]
         return pd.DataFrame({"entry": group["entry"].iloc[0], "other": names[scores >= last - 1e-12]})
 
-    best = partial.groupBy("entry").applyInPandas(merge, "entry long, other long")
+    def search(index: DataFrame, probing: DataFrame) -> DataFrame:
+        # a row for each bucket of each table: as many as tables times axes
+        parts = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+        sizes = index.groupBy("slot", "bucket").agg(F.count("*").alias("n")).join(probing.groupBy("slot", "bucket").agg(F.count("*").alias("m")), ["slot", "bucket"])
+        sizes = F.broadcast(written(sizes.select("slot", "bucket", parts("n").alias("n"), parts("m").alias("m"))))
+        block = lambda n: F.pmod(F.xxhash64("entry"), F.col(n)).cast("int")
+        upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        index = index.join(sizes, ["slot", "bucket"]).select("slot", "bucket", "entry", "raw", block("n").alias("i"), upto("m").alias("j"))
+        probing = probing.join(sizes, ["slot", "bucket"]).select("slot", "bucket", "entry", "raw", block("m").alias("j"), upto("n").alias("i"))
+
+        by = ["slot", "bucket", "i", "j"]
+        partial = probing.groupBy(*by).cogroup(index.groupBy(*by)).applyInPandas(score, "entry long, found binary, scores binary")
+        return partial.groupBy("entry").applyInPandas(merge, "entry long, other long")
+
+    best = written(search(index, probing))
+    # an entry finds itself too
+    found = best.join(entries.select(F.col("entry").alias("other"), F.size("ids").alias("n")), "other").groupBy("entry").agg(F.sum("n").alias("n"))
+    short = written(asking.join(found, "entry", "left").filter(F.coalesce("n", F.lit(0)) < min(k + 1, facts["ids"])).select("entry", "v"))
+    if not short.isEmpty():
+        again = search(written(entries.select("entry", "v").mapInArrow(frugal(unhashed), schema)), written(short.mapInArrow(frugal(unhashed), schema)))
+        best = best.join(short, "entry", "left_anti").unionByName(again)
     # exact scores of the few kept, in one order of summation
     mine = asking.select("entry", F.col("v").alias("q"))
     theirs = entries.select(F.col("entry").alias("other"), F.col("v").alias("x"), "ids")

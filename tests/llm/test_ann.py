@@ -76,3 +76,23 @@ def test_recall_on_a_larger_table(spark):
     path = "/root/testdata/sf0.1"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{path}/embeddings.parquet").collect()]
     assert recall(lists(QUERIES["op7_cross_polytope"](spark, path)), brute(rows, 20, 20)) >= 0.9
+
+
+@pytest.mark.parametrize("lengths", ["outlier", "uniform", "lognormal"])
+def test_recall_with_unequal_lengths(spark, lengths):
+    vectors = [(r.vec_id, np.array(r.embedding, float)) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    rng = np.random.default_rng(3)
+    factor = {"outlier": np.where(np.arange(len(vectors)) == 7, 10.0, 1.0), "uniform": rng.uniform(0.9, 1.1, len(vectors)), "lognormal": rng.lognormal(0, 1, len(vectors))}[lengths]
+    rows = [(i, (v * x).tolist()) for (i, v), x in zip(vectors, factor, strict=True)]
+    assert len(rows) > 1000
+    got, want = lists(ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=20, k=20)), brute(rows, 20, 20)
+    assert all(len(got[i]) == 20 for i in want) and recall(got, want) >= 0.95
+
+
+def test_lists_are_whole_where_buckets_hold_too_few(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(1200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got, want = lists(ann.nearest(df, every=20, k=20, tables=1, probes=1)), brute(rows, 20, 20)
+    # found in one bucket of 128, lists would have about 9: all are searched again
+    assert all(len(got[i]) == 20 for i in want) and recall(got, want) > 0.9
