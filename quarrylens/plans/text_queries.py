@@ -270,11 +270,11 @@ def mapping_join(spark, d):
 
 def _decisions(spark, d):
     """Decisions of a reviewer about clusters, some of them wrong."""
-    part = table(spark, d, "part").filter("p_partkey <= 200")
+    part = table(spark, d, "part")
     clusters = part.select(F.col("p_partkey").cast("string").alias("cluster_id"), F.col("p_type").alias("category"), F.col("p_size").cast("long").alias("review_count"), (F.col("p_partkey") % 3 + 1).alias("product_count"))
-    named = clusters.filter("cast(cluster_id as int) % 10 <> 0").withColumn("name", F.concat(F.lit("Theme "), (F.col("cluster_id").cast("int") % 4).cast("string")))
-    extra = named.filter("cast(cluster_id as int) % 25 = 1")
-    strange = named.filter("cast(cluster_id as int) % 25 = 2").withColumn("cluster_id", F.concat(F.lit("x"), "cluster_id"))
+    named = clusters.filter("cast(cluster_id as long) % 10 <> 0").withColumn("name", F.concat(F.lit("Theme "), (F.col("cluster_id").cast("long") % 4).cast("string")))
+    extra = named.filter("cast(cluster_id as long) % 25 = 1")
+    strange = named.filter("cast(cluster_id as long) % 25 = 2").withColumn("cluster_id", F.concat(F.lit("x"), "cluster_id"))
     every = named.unionByName(extra).unionByName(strange)
     grouped = every.groupBy("category", "name").agg(F.sort_array(F.collect_list("cluster_id")).alias("member_cluster_ids"))
     decisions = grouped.groupBy("category").agg(F.array_sort(F.collect_list(F.struct("name", F.lit("d").alias("definition"), "member_cluster_ids"))).alias("themes"))
