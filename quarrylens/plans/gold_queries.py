@@ -170,7 +170,7 @@ def trend_grid(spark, d):
     from quarrylens.operators.trends import month_grid
 
     series = gold.theme_timeseries(_review_themes(spark, d), s.reviews(spark, d))
-    return month_grid(series, ["product_id", "taxonomy_id", "sentiment"], "review_month", "review_count").filter("product_id < 5")
+    return month_grid(series, ["product_id", "taxonomy_id", "sentiment"], "review_month", "review_count")
 
 
 @query(

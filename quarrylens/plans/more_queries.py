@@ -20,7 +20,7 @@ ASPECTS = "SELECT l_orderkey AS review_id, l_suppkey AS product_id, l_linenumber
 
 def _aspects(spark, d):
     sentiment = F.when(F.col("l_returnflag") == "A", "positive").when(F.col("l_returnflag") == "R", "negative").otherwise("neutral")
-    return table(spark, d, "lineitem").filter("l_orderkey % 5 = 0").select(
+    return table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("review_id"), F.col("l_suppkey").alias("product_id"), F.col("l_linenumber").alias("sentence_id"), F.concat(F.lit("line "), F.col("l_partkey").cast("string")).alias("sentence_text"),
         F.concat(F.lit("a"), (F.col("l_partkey") % 9).cast("string")).alias("aspect_text"), sentiment.alias("aspect_sentiment"),
     )

@@ -9,6 +9,9 @@ SUBSETS = {
     "decision_validation": " WHERE p_partkey <= 200",
     "taxonomy_expand": " WHERE p_partkey <= 200",
     "global_taxonomy": " WHERE p_partkey <= 200",
+    "attribution_join": " WHERE l_orderkey % 5 = 0",
+    "theme_candidates": " WHERE l_orderkey % 5 = 0",
+    "trend_grid": " WHERE product_id < 5",
 }
 
 
