@@ -6,7 +6,10 @@ through a linear softmax.  Both are trained by stochastic gradient descent in nu
 bounded sample.  As the softmax's input is linear in the embeddings, prediction uses the
 product of the two tables, one number for each hash row and language, which is exact and
 needs one lookup a feature.  A temperature and a rejection threshold are fitted on a fifth of
-the sample that training does not see.
+the sample that training does not see: the threshold lies half way, in log-odds, between the
+scores of made-up words of random letters and the least of the texts labelled rightly there (the
+sample is too small to show either tail); where they overlap it rejects one in 500 of the
+latter, and up to one in 100 if the former ask for it.
 
 The sample takes at most ``per_language`` labelled texts of each language and ``most`` in all,
 by the order of a hash of their ids; texts over ``longest`` bytes are not taken.  Prediction
@@ -19,6 +22,7 @@ Output columns replace input columns of the same name.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -107,8 +111,19 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
-def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 8, rate: float = 3.0, seed: int = 7) -> Model:
-    """From (hash rows, shares, language) of each text."""
+def made_up(text: str, size: int = 200) -> str:
+    """Words of random letters of a text."""
+    letters = sorted({c for c in text if c.isalpha()}) or ["a"]
+    rng = np.random.default_rng(zlib.crc32(text.encode()))
+    drawn = [letters[i] for i in rng.integers(0, len(letters), size)]
+    for at in np.cumsum(rng.integers(3, 10, size)):
+        if at < size:
+            drawn[at] = " "
+    return "".join(drawn)
+
+
+def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 8, rate: float = 3.0, seed: int = 7, negatives: list[tuple[np.ndarray, np.ndarray]] = ()) -> Model:
+    """From (hash rows, shares, language) of each text, and (hash rows, shares) of made-up ones."""
     languages = sorted({y for _, _, y in samples})
     rng = np.random.default_rng(seed)
     label = np.array([languages.index(y) for _, _, y in samples])
@@ -145,8 +160,13 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 8, rate
         model.temperature = float(max(t for x, t in loss if x <= min(loss)[0] + 0.01))
         chance = softmax(raw / model.temperature)
         right = chance.max(axis=1)[chance.argmax(axis=1) == label[held]]
-        # rejected is what says hardly more than chance: at most one in 500 of the texts labelled rightly
-        model.threshold = float(min(0.5, 1.25 / len(languages), np.quantile(right, 0.002))) if len(right) else 0.0
+        if len(right):
+            # at most one in 500 of the texts labelled rightly, or one in 100 to reject made-up ones
+            low, high = np.quantile(right, [0.002, 0.01], method="lower")
+            odd = [softmax((share @ model.table[rows] + model.bias) / model.temperature).max() for rows, share in negatives if len(rows)]
+            made = np.quantile(odd, 0.99) if odd else low
+            odds = lambda x: np.log(x / max(1 - x, 1e-12))
+            model.threshold = float(1 / (1 + np.exp(-(odds(made) + odds(low)) / 2)) if made < low else max(low, min(high, made)))
     return model
 
 
@@ -160,11 +180,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, data, offsets in text_slices(batches, "__t", SLICE):
             found = [features(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.int32).tobytes() for x, _ in found]), pa.array([x.tobytes() for _, x in found]), table["__y"].combine_chunks()], ["rows", "share", "y"])
+            odd = [features(np.frombuffer(made_up(data[a:b].tobytes().decode(errors="replace")).encode(), np.uint8)) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            labels = pa.array(table["__y"].to_pylist() + [None] * len(odd), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.int32).tobytes() for x, _ in found + odd], pa.binary()), pa.array([x.tobytes() for _, x in found + odd], pa.binary()), labels], ["rows", "share", "y"])
 
     samples = small_batches(chosen).mapInArrow(frugal(run), "rows binary, share binary, y string").collect()
-    samples = sorted((r.y, bytes(r.rows), bytes(r.share)) for r in samples)
-    return fit([(np.frombuffer(a, np.int32), np.frombuffer(b, np.float32), y) for y, a, b in samples]) if samples else None
+    pair = lambda a, b: (np.frombuffer(a, np.int32), np.frombuffer(b, np.float32))
+    odd = [pair(bytes(r.rows), bytes(r.share)) for r in samples if r.y is None]
+    samples = sorted((r.y, bytes(r.rows), bytes(r.share)) for r in samples if r.y is not None)
+    return fit([(*pair(a, b), y) for y, a, b in samples], negatives=odd) if samples else None
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarrylens.llm import langid
 from quarrylens.llm.queries import QUERIES
@@ -41,6 +42,27 @@ def test_foreign_text_is_rejected_more_than_known(spark, model):
     assert langid.predict(df, model).first().score < 0.95
 
 
+FOREIGN = [
+    "Il gatto dorme sul divano mentre la pioggia cade lentamente sulla citta e i bambini giocano",
+    "Kissa nukkuu sohvalla kun sade putoaa hiljaa kaupungin ylle ja lapset leikkivat kotona",
+    "Kot spi na kanapie podczas gdy deszcz pada powoli na miasto a dzieci bawia sie w domu",
+    "Kedi kanepede uyurken yagmur yavasca sehrin uzerine yagiyor ve cocuklar evde oynuyor",
+]
+
+
+@pytest.mark.parametrize("languages", [["de", "en", "es", "fr"], ["en", "fr"]])
+def test_foreign_and_random_text_is_rejected_and_clean_text_kept(spark, sf, languages):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").filter(F.col("lang").isin(languages) & F.col("text").rlike("\\p{L}"))
+    model = langid.train(docs)
+    rng = np.random.default_rng(1)
+    random = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 10))) for _ in range(20)) for _ in range(100)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(FOREIGN + random)], "doc_id long, text string")
+    got = {r.doc_id: r.accepted for r in langid.predict(df, model).collect()}
+    assert not any(got[i] for i in range(len(FOREIGN)))
+    assert np.mean([got[i] for i in range(len(FOREIGN), len(got))]) <= 0.02
+    assert np.mean([r.accepted for r in langid.predict(docs, model).select("accepted").collect()]) > 0.98
+
+
 def test_held_out_accuracy(spark, sf):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = [r for r in QUERIES["op1_language_id"](spark, sf).collect()]
