@@ -16,11 +16,16 @@ of them (a member of a large group of near copies) keeps all.
 
 Groups are found without listing all pairs within a bucket: equal sets are one node, each
 bucket is first linked to its smallest node, and only buckets whose nodes are then still in
-different groups are compared pair by pair, in blocks of bounded size and across groups only.
+different groups are compared further, in blocks of bounded size and across groups only.
 Candidates pass an exact filter before sets are fetched: each set has a mark of 2,048 bits,
 the parities of its elements by hash, and two marks never differ in more bits than the sets
-differ in elements.  Every link used is verified on whole sets, and two sets that reach the
-similarity always end in one group.
+differ in elements.  Of the pairs that pass, a block gives only those that join groups which
+are still apart in it: 16 spanning forests that share no pair, each of fewer pairs than there are
+nodes.  Every link used is verified on whole sets.  If all pairs of a bucket's forests are
+links, the pairs left out add nothing; where one is not, the bucket comes again with 16 times
+as many forests, until no pair was left out or all that were given are links.  So two sets
+that reach the similarity always end in one group, and a round emits at most nodes times
+forests.
 
 Defined results: null text, empty text and text without words have an empty set, no links
 and their own id; a null id counts as larger than all ids; rows with equal ids are documents
@@ -53,6 +58,8 @@ SMALL = 200_000
 #: Bits of a mark, and nodes of a bucket that one task compares with as many others.
 BITS = 2048
 BLOCK = 1500
+#: Forests of pairs that a block gives at first, and times as many whenever that was not enough.
+FORESTS = 16
 
 
 class Bands:
@@ -226,15 +233,15 @@ def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = held.filter("own = 1").select("name", "node", "pair", "f").unionByName(local)
     spare = F.element_at(F.array(*[F.lit(s - s // 2) for s in bands.spare]), (F.col("pair") + 1).cast("int"))
     common = F.when(F.col("f") > weak, 1).otherwise(0)
-    rows = rows.withColumn("weak", F.sum(common).over(Window.partitionBy("node", "pair"))).filter((F.col("f") <= weak) | (F.col("weak") > spare))
-    rows = written(rows.select("name", "node").distinct())
+    # a set that many chunks hold counts once
+    rows = rows.distinct().withColumn("weak", F.sum(common).over(Window.partitionBy("node", "pair"))).filter((F.col("f") <= weak) | (F.col("weak") > spare))
+    rows = written(rows.select("name", "node"))
 
     marks = found.filter(F.col("kind") == FACTS).select(F.col("b").alias("node"), F.col("c").alias("n"), "mark")
     marks = written(marks.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.max("n").alias("n"), F.max("mark").alias("mark")))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Links among candidate pairs (u, v), which are few enough past their marks that their sets can be fetched."""
-        pairs = written(pairs.distinct())
         nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
         sets = _sets(texts, facts, nodes, n)
         u = sets.select(F.col("node").alias("u"), F.col("shingles").alias("x"))
@@ -244,14 +251,24 @@ def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     centre = rows.groupBy("name").agg(F.min("node").alias("u"))
     pairs = rows.join(centre, "name").filter("u <> node").select("u", F.col("node").alias("v")).distinct()
-    links = verified(_past_marks(pairs, marks, num, den))
-    groups = components(links)
-    left = rows.join(groups, "node", "left").select("name", "node", F.coalesce("component", "node").alias("component"))
-    mixed = left.groupBy("name").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).filter("low <> high").select("name", "size")
-    open_rows = left.join(mixed, "name").join(marks, "node")
-    more = verified(_across_groups(open_rows, num, den))
-    links = written(links.unionByName(more))
+    tested = written(_past_marks(pairs, marks, num, den))
+    links = verified(tested)
     groups = components(links)
+    forests = FORESTS
+    while True:
+        left = rows.join(groups, "node", "left").select("name", "node", F.coalesce("component", "node").alias("component"))
+        mixed = left.groupBy("name").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).filter("low <> high").select("name", "size")
+        found_pairs = written(_across_groups(left.join(mixed, "name").join(marks, "node"), num, den, forests))
+        new = written(found_pairs.select("u", "v").distinct().join(tested, ["u", "v"], "left_anti"))
+        if not new.isEmpty():
+            links = written(links.unionByName(verified(new)))
+            groups = components(links)
+        # buckets that left pairs out because of a pair that is no link
+        failed = found_pairs.filter("more").join(links, ["u", "v"], "left_anti").select("name").distinct()
+        rows = written(rows.join(failed, "name", "left_semi"))
+        if rows.isEmpty():
+            break
+        tested, forests = written(tested.unionByName(new)), forests * FORESTS
     documents = facts.join(groups, "node", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
     return documents, links
 
@@ -270,8 +287,83 @@ def _past_marks(pairs: DataFrame, marks: DataFrame, num: int, den: int) -> DataF
     return pairs.join(v, "v").join(u, "u").select("u", "v", "m_u", "m_v", "n_u", "n_v").mapInArrow(frugal(run), "u long, v long")
 
 
-def _across_groups(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of a bucket's nodes in different groups whose marks allow the similarity.
+class Forests:
+    """Edge-disjoint forests over labels: a pair goes into the first one in which it joins two trees."""
+
+    def __init__(self, labels: int, most: int):
+        self.labels = np.arange(labels)
+        self.most = most
+        self.parents: list[np.ndarray] = []
+
+    def add(self, a: int, b: int) -> bool:
+        for parent in self.parents:
+            x, y = self._root(parent, a), self._root(parent, b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                return True
+        if len(self.parents) == self.most:
+            return False
+        self.parents.append(self.labels.copy())
+        self.parents[-1][max(a, b)] = min(a, b)
+        return True
+
+    @staticmethod
+    def _root(parent: np.ndarray, x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    def trees(self) -> np.ndarray:
+        """The label of each label's tree in the last forest there may be, whose trees lie within those of the others."""
+        if len(self.parents) < self.most:
+            return self.labels
+        parent = self.parents[-1]
+        while True:
+            up = parent[parent]
+            if (up == parent).all():
+                return parent
+            self.parents[-1] = parent = up
+
+
+def _spanning(marks: np.ndarray, group: np.ndarray, own: np.ndarray, same: np.ndarray, part: np.ndarray, n: np.ndarray, num: int, den: int, forests: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (x, y) of the pairs of each group's forests, and for each group whether pairs were left out.
+
+    ``group`` ascends from 0; pairs of one ``part`` and, unless ``same``, of one ``own`` don't count."""
+    edge = runs(group)
+    stop = np.repeat(edge[1:], np.diff(edge))
+    label = np.unique(np.stack((group, part), 1), axis=0, return_inverse=True)[1].ravel()
+    trees = Forests(int(label.max()) + 1, forests)
+    tree, omitted, whole = label, np.zeros(len(edge) - 1, bool), np.zeros(len(edge) - 1, bool)
+    us, vs, apart = [], [], 1
+    one = np.arange(len(group))
+    while len(one := one[(one + apart < stop[one]) & ~whole[group[one]]]):
+        a = one[(label[one] != label[one + apart]) & (same[one] | (own[one] != own[one + apart]))]
+        # joined in all forests already
+        known = tree[a] == tree[a + apart]
+        omitted[group[a[known]]] = True
+        a = a[~known]
+        before = len(us)
+        for k in range(0, len(a), 1 << 14):
+            x = a[k : k + (1 << 14)]
+            x = x[_may_link(marks[x], marks[x + apart], n[x], n[x + apart], num, den)]
+            for i in x.tolist():
+                if trees.add(label[i], label[i + apart]):
+                    us.append(i)
+                    vs.append(i + apart)
+                else:
+                    omitted[group[i]] = True
+        if len(us) > before:
+            tree = trees.trees()[label]
+            # a group that is one tree in all forests takes no more
+            whole = np.maximum.reduceat(tree, edge[:-1]) == np.minimum.reduceat(tree, edge[:-1])
+            omitted |= whole & (np.diff(edge) > apart + 1)
+        apart += 1
+    return np.array(us, np.int64), np.array(vs, np.int64), omitted
+
+
+def _across_groups(rows: DataFrame, num: int, den: int, forests: int) -> DataFrame:
+    """Forests of pairs (u, v) of a bucket's nodes in different groups whose marks allow the
+    similarity; ``more`` where the block left pairs out.
 
     A bucket of more than BLOCK nodes is dealt into blocks, and a task compares two of them."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("long")
@@ -280,26 +372,15 @@ def _across_groups(rows: DataFrame, num: int, den: int) -> DataFrame:
     rows = rows.select("name", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "n", "mark")
 
     def compare(held: pa.Table) -> pa.RecordBatch:
-        """Whole groups of rows: compares rows that are 1, 2, 3 ... apart."""
+        """Whole groups of rows."""
         marks = np.frombuffer(b"".join(held["mark"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
         name, i, j, own, node, part, n = (held[c].to_numpy() for c in ("name", "i", "j", "own", "node", "component", "n"))
-        new = np.ones(len(name) + 1, bool)
-        new[1:-1] = (name[1:] != name[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
-        edge = np.flatnonzero(new)
-        stop = np.repeat(edge[1:], np.diff(edge))
-        one = np.arange(len(name))
-        us, vs, apart = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 1
-        while len(one := one[one + apart < stop[one]]):
-            a = one[(part[one] != part[one + apart]) & ((i[one] == j[one]) | (own[one] != own[one + apart]))]
-            for k in range(0, len(a), 1 << 14):
-                x = a[k : k + (1 << 14)]
-                y = x + apart
-                hit = _may_link(marks[x], marks[y], n[x], n[y], num, den)
-                us.append(node[x[hit]])
-                vs.append(node[y[hit]])
-            apart += 1
-        u, v = np.concatenate(us), np.concatenate(vs)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+        new = np.zeros(len(name), bool)
+        new[1:] = (name[1:] != name[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        group = np.cumsum(new)
+        x, y, omitted = _spanning(marks, group, own, i == j, part, n, num, den, forests)
+        u, v = node[x], node[y]
+        return pa.RecordBatch.from_arrays([pa.array(name[x]), pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(omitted[group[x]])], ["name", "u", "v", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -319,8 +400,9 @@ def _across_groups(rows: DataFrame, num: int, den: int) -> DataFrame:
         if held:
             yield compare(pa.concat_tables(held))
 
-    rows = rows.repartition("name", "i", "j").sortWithinPartitions("name", "i", "j")
-    return rows.mapInArrow(frugal(run), "u long, v long")
+    # by node: buckets that share nodes tend to give the same pairs
+    rows = rows.repartition("name", "i", "j").sortWithinPartitions("name", "i", "j", "node")
+    return rows.mapInArrow(frugal(run), "name long, u long, v long, more boolean")
 
 
 def _sets(texts: DataFrame, facts: DataFrame, nodes: DataFrame, n: int) -> DataFrame:

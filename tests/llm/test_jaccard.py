@@ -88,6 +88,67 @@ def test_signatures_meet_the_guarantee():
                 assert set(s[holder == 0]) & set(s[holder == 1])
 
 
+def test_forests_join_what_all_pairs_join():
+    rng = np.random.default_rng(5)
+    for forests in (1, 2, 16):
+        for _ in range(20):
+            group = np.sort(rng.integers(0, 4, 60))
+            group = np.unique(group, return_inverse=True)[1]
+            part, own = rng.integers(0, 12, 60), rng.integers(0, 2, 60)
+            same = np.isin(group, [0, 2])
+            kind = rng.integers(0, 5, 60)
+            marks = np.zeros((60, jaccard.BITS // 64), np.uint64)
+            marks[np.arange(60), kind] = np.uint64(2**64 - 1)
+            n = np.full(60, 100)
+            x, y, more = jaccard._spanning(marks, group, own, same, part, n, 80, 100, forests)
+            pairs = [(a, b) for a in range(60) for b in range(a + 1, 60) if group[a] == group[b] and part[a] != part[b] and kind[a] == kind[b] and (same[a] or own[a] != own[b])]
+            got = set(zip(x.tolist(), y.tolist(), strict=True))
+            assert len(got) == len(x) and got <= set(pairs) and len(x) <= forests * 60
+            label = [(g, p) for g, p in zip(group, part, strict=True)]
+
+            def trees(links):
+                root = {k: k for k in label}
+
+                def find(k):
+                    while root[k] != k:
+                        k = root[k]
+                    return k
+
+                for a, b in links:
+                    root[find(label[a])] = find(label[b])
+                return {frozenset(j for j in label if find(j) == find(k)) for k in label}
+
+            assert trees(got) == trees(pairs)
+            for g in set(group.tolist()):
+                if not more[g]:
+                    assert {p for p in pairs if group[p[0]] == g} <= got
+
+
+def test_a_long_chain_and_a_group_without_a_centre(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"c{i}" for i in range(1500)]
+    texts = [" ".join(words[i : i + 90]) for i in range(1400)]
+    # copies with one word changed each: few of them are near one another, all are near the original
+    base = [f"b{i}" for i in range(70)]
+    for _ in range(600):
+        ws = list(base)
+        ws[rng.randrange(70)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(ws))
+    rows = list(enumerate(texts))
+    made, whole = [], jaccard._across_groups
+
+    def counted(open_rows, num, den, forests):
+        out = jaccard.written(whole(open_rows, num, den, forests))
+        made.append((out.count(), forests * open_rows.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "_across_groups", counted)
+    monkeypatch.setattr(jaccard, "FORESTS", 2)
+    monkeypatch.setattr(jaccard, "BLOCK", 200)
+    assert got(spark, rows, 5, 80, 100) == brute(rows, 5, 80, 100)
+    assert made and all(pairs <= most for pairs, most in made)
+
+
 def test_empty_table_and_kept_rows(spark):
     schema = "doc_id long, text string, component string, node int"
     assert jaccard.keep_one_of_each_group(spark.createDataFrame([], schema)).collect() == []
