@@ -1,15 +1,15 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 Each of ``tables`` pseudo-rotations (three rounds of random signs and a fast Hadamard
-transform) sends a vector's direction to the nearest signed axis: its bucket.  A query looks
-into the buckets of its ``probes`` nearest signed axes in every table; all vectors found there
-are scored exactly in double precision and the ``k`` best are kept.  Vectors are banded by
-length, each band ``BAND`` times as long as the next; a band is an index of its own, in which
-the order of directions is nearly that of inner products, and every query searches all bands.
-A band of up to ``k * 50`` entries is searched whole.  Queries for which fewer than ``k``
-others were found although there are more are searched again, exactly, over all vectors.
-
-Equal vectors are one entry of the index with their smallest ``k + 1`` ids, which is all that
+transform) sends a vector's direction to the nearest signed axis: its bucket.  Vectors are banded
+by length, each band ``BAND`` times as long as the next; a band is an index of its own, in which
+the order of directions is nearly that of inner products.  A query looks in every table into
+``probes`` buckets a band on average, those of the largest coordinate on their axis times length
+of their band; all vectors found there are scored exactly in double precision and the ``k`` best
+are kept.  This is the same at every size of a table and of a band.  Queries for which fewer than ``k`` others were found although there are more are searched
+again, exactly, over all vectors.
+
+Equal vectors are one numbered entry of the index with their smallest ``k + 1`` ids, which is all that
 any list of k can show.  A bucket of more than ``BLOCK`` vectors or queries is dealt into
 blocks, and a task scores one block of queries against one block of vectors; each query keeps
 k + 1 entries a block, and blocks and tables are merged by query.
@@ -17,8 +17,10 @@ k + 1 entries a block, and blocks and tables are merged by query.
 Recall against brute force is measured in the tests.
 
 Defined results: vectors that are null, zero or hold a null or non-finite component take no
-part, nor do rows with a null id; vectors must have one length; ties go to the smaller id;
-the list is shorter only where there are fewer than k others; an empty table gives no rows.
+part, nor do rows with a null id or vectors of another dimension than most (of dimensions
+equally frequent, the largest); ties go to the smaller id; rows that share id and vector count
+once, an id with several vectors asks and is found with each, and no list holds its own id; the
+list is shorter only where there are fewer than k others; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -61,13 +63,18 @@ def rotated(x: np.ndarray, table: int, seed: int) -> np.ndarray:
     return x
 
 
-def axes(x: np.ndarray, table: int, seed: int, probes: int) -> np.ndarray:
-    """The nearest signed axes of rows, nearest first: i for +i, i + d for -i."""
+def axes(x: np.ndarray, table: int, seed: int) -> np.ndarray:
+    """Rows' coordinates on the signed axes: i for +i, i + d for -i.  The largest is the bucket."""
     x = rotated(x, table, seed)
-    both = np.concatenate((x, -x), 1)
-    if probes == 1:
-        return both.argmax(axis=1)[:, None]
-    return np.argsort(-both, axis=1, kind="stable")[:, :probes]
+    return np.concatenate((x, -x), 1)
+
+
+def likeliest(near: np.ndarray, lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, band, axis) of each row's ``most`` buckets of the largest coordinate times length of the band."""
+    rank = (lengths[None, :, None] * near[:, None, :]).reshape(len(near), -1)
+    most = min(most, rank.shape[1])
+    best = np.argpartition(-rank, most - 1, axis=1)[:, :most].ravel()
+    return np.repeat(np.arange(len(near)), most), best // near.shape[1], best % near.shape[1]
 
 
 def _matrix(column, width: int, kind: str) -> np.ndarray:
@@ -79,65 +86,63 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     double = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), double.alias("v")).filter("id is not null and v is not null")
     rows = rows.filter(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))).filter(F.exists("v", lambda x: x != 0))
-    rows = rows.withColumn("key", F.md5(F.concat_ws(",", F.transform("v", lambda x: x.cast("string")))))
-
-    # an entry goes by its smallest id
-    first = rows.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("id"))).filter(F.col("n") <= k + 1)
-    entries = first.groupBy("key").agg(F.min("v").alias("v"), F.sort_array(F.collect_list("id")).alias("ids"))
-    entries = written(entries.select(F.element_at("ids", 1).alias("entry"), "key", "v", "ids"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    facts = entries.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width"), F.max(norm).alias("high"), F.sum(F.size("ids")).alias("ids")).first()
+    widths = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), F.desc("n")).first()
     out = "query_id long, rank int, vec_id long, score double"
-    if not facts["n"]:
+    if widths is None:
         return vectors.sparkSession.createDataFrame([], out)
-    width = facts["width"]
+    width = widths["n"]
+    rows = rows.filter(F.size("v") == width).withColumn("key", F.md5(F.concat_ws(",", F.transform("v", lambda x: x.cast("string")))))
+
+    first = rows.withColumn("n", F.dense_rank().over(Window.partitionBy("key").orderBy("id"))).filter(F.col("n") <= k + 1)
+    entries = first.groupBy("key").agg(F.min("v").alias("v"), F.sort_array(F.collect_set("id")).alias("ids"))
+    # numbers that stay as they were written
+    entries = written(entries.select(F.monotonically_increasing_id().alias("entry"), "key", "v", "ids"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    facts = entries.agg(F.max(norm).alias("high"), F.sum(F.size("ids")).alias("ids")).first()
     # bands by what their lengths fall short of the greatest; a row for each that is there
     band = F.coalesce(F.floor((F.lit(math.log(facts["high"])) - F.log(norm)) / math.log(BAND)), F.lit(-1)).alias("band")
-    counts = {r["band"]: r["n"] for r in entries.groupBy(band).agg(F.count("*").alias("n")).collect()}
-    place = {b: i for i, b in enumerate(sorted(counts))}
-    whole = {b for b, n in counts.items() if n <= 50 * k}
-    queries = rows.filter(F.col("id") % every == 0).select("key", F.col("id").alias("query_id")).join(entries.select("key", "entry"), "key").select("entry", "query_id")
+    place = {r["band"]: i for i, r in enumerate(entries.select(band).distinct().orderBy("band").collect())}
+    queries = rows.filter(F.col("id") % every == 0).select("key", F.col("id").alias("query_id")).join(entries.select("key", "entry"), "key").select("entry", "query_id").distinct()
     asking = entries.join(queries.select("entry").distinct(), "entry", "left_semi")
     # components of a float column are exact in 32 bits
     kind = "<f4" if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else "<f8"
 
-    def rows_of(slot: int, bucket: np.ndarray, entry: pa.Array, raw: pa.Array) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), slot, np.int32)), pa.array(bucket.astype(np.int32)), entry, raw], ["slot", "bucket", "entry", "raw"])
+    def rows_of(slot: np.ndarray, bucket: np.ndarray, entry: pa.Array, raw: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(bucket.astype(np.int32)), entry, raw], ["slot", "bucket", "entry", "raw"])
+
+    lengths = np.array([BAND ** -float(b) for b in place])
+    # a query's probes are dealt over all bands; slices bound the ranks and the rows held at once
+    slices = {False: 1024, True: max(1, min(1024, (1 << 21) // (len(place) * 4 * width), (1 << 16) // (probes * len(place))))}
 
     def hashed(probe: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at in range(0, batch.num_rows, 1024):
-                    part = batch.slice(at, 1024)
+                for at in range(0, batch.num_rows, slices[probe]):
+                    part = batch.slice(at, slices[probe])
                     x, bands = part.column(1).flatten().to_numpy().reshape(-1, width), part.column(2).to_numpy()
                     entry, raw = part.column(0), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
                     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                    # queries look into every band, entries are in their own
-                    inside = {b: None if probe else pa.array(np.flatnonzero(bands == b)) for b in (place if probe else np.unique(bands).tolist())}
-                    for b in inside.keys() & whole:
-                        own = (entry, raw) if probe else (entry.take(inside[b]), raw.take(inside[b]))
-                        yield rows_of(place[b] * tables, np.zeros(len(own[0])), *own)
-                    if not inside.keys() - whole:
-                        continue
                     for table in range(tables):
-                        near = axes(unit, table, seed, probes if probe else 1)
-                        for b in inside.keys() - whole:
-                            for j in range(near.shape[1]):
-                                if probe:
-                                    yield rows_of(place[b] * tables + table, near[:, j], entry, raw)
-                                else:
-                                    yield rows_of(place[b] * tables + table, near[inside[b].to_numpy(), j], entry.take(inside[b]), raw.take(inside[b]))
+                        near = axes(unit, table, seed)
+                        if probe:
+                            row, band, axis = likeliest(near, lengths, probes * len(place))
+                            yield rows_of(band * tables + table, axis, entry.take(pa.array(row)), raw.take(pa.array(row)))
+                        else:
+                            yield rows_of(np.array([place[b] for b in bands.tolist()]) * tables + table, near.argmax(axis=1), entry, raw)
 
         return run
 
     def unhashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column(1).flatten().to_numpy().reshape(-1, width)
-            yield rows_of(0, np.zeros(len(x)), batch.column(0), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary()))
+            yield rows_of(np.zeros(len(x)), np.zeros(len(x)), batch.column(0), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary()))
 
     schema = "slot int, bucket int, entry long, raw binary"
     index = written(entries.select("entry", "v", band).mapInArrow(frugal(hashed(False)), schema))
-    probing = written(asking.select("entry", "v", band).mapInArrow(frugal(hashed(True)), schema))
+    # probes of empty buckets are not written; there are at most tables times axes times bands buckets
+    there = F.broadcast(index.select("slot", "bucket").distinct())
+    probing = written(asking.select("entry", "v", band).mapInArrow(frugal(hashed(True)), schema).join(there, ["slot", "bucket"], "left_semi"))
+
     def score(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         entry, found, scores = [], [], []
         if len(asked) and len(held):
@@ -188,6 +193,7 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     theirs = entries.select(F.col("entry").alias("other"), F.col("v").alias("x"), "ids")
     exact = best.join(mine, "entry").join(theirs, "other").withColumn("score", F.aggregate(F.zip_with("q", "x", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x))
     listed = exact.groupBy("entry").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
-    pairs = queries.join(listed, "entry").withColumn("f", F.explode("found")).select("query_id", F.col("f.score").alias("score"), F.explode("f.ids").alias("vec_id")).filter("query_id <> vec_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    pairs = queries.join(listed, "entry").withColumn("f", F.explode("found")).select("query_id", "entry", F.col("f.score").alias("score"), F.explode("f.ids").alias("vec_id")).filter("query_id <> vec_id")
+    # a list for each vector that an id asks with
+    rank = F.row_number().over(Window.partitionBy("query_id", "entry").orderBy(F.desc("score"), "vec_id"))
     return pairs.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

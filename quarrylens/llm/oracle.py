@@ -21,14 +21,6 @@ t AS (SELECT d, max(page_id) AS top FROM d GROUP BY d)
 SELECT page_id, n AS payload_bytes, d.d AS payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM d JOIN t ON d.d = t.d
 """
 
-OP7 = """
-WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_reduce([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)], lambda a, b: a + b) AS score FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
-"""
-
 OP9 = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(t="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS k, least(len(ws), 4) AS l FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
@@ -39,4 +31,5 @@ reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = w.doc_id
 """
 
-ORACLE = {"op2_substring_dedup": OP2, "op4_warc": OP4, "op7_cross_polytope": OP7, "op9_ngram_jaccard": OP9}
+# op7 has none: SQL gives the exact neighbours, the operator finds them with a recall below 1, which its tests measure.
+ORACLE = {"op2_substring_dedup": OP2, "op4_warc": OP4, "op9_ngram_jaccard": OP9}

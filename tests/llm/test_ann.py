@@ -89,6 +89,31 @@ def test_recall_with_unequal_lengths(spark, lengths):
     assert all(len(got[i]) == 20 for i in want) and recall(got, want) >= 0.95
 
 
+def test_a_small_table_goes_through_the_buckets(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute(rows, 20, 20)
+    few = lists(ann.nearest(df, every=20, k=1, tables=1, probes=4))
+    many = lists(ann.nearest(df, every=20, k=1, tables=8, probes=16))
+    best = {i: x[:1] for i, x in want.items()}
+    # four buckets of 128 don't hold all of the nearest
+    assert recall(few, best) < 1 and recall(many, best) >= 0.9
+
+
+def test_other_dimensions_and_ids_with_several_vectors(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(40)]
+    odd = [(0, rng.normal(size=4).tolist()), (0, rows[0][1]), (7, rows[20][1]), (60, [1.0, 2.0]), (80, [1.0] * 5), (81, [])]
+    got = [tuple(r) for r in ann.nearest(spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>"), every=20, k=3).collect()]
+    # two vectors ask as 0, one as 20; 7 is found by either vector; 60 and 80 take no part
+    assert sorted((q, r) for q, r, _, _ in got) == sorted([(0, r) for r in (1, 2, 3)] * 2 + [(20, r) for r in (1, 2, 3)])
+    assert all(q != v and v < 60 for q, _, v, _ in got)
+    every = {i: [np.array(v) for j, v in rows + odd[:3] if j == i] for i in range(40)}
+    for q, _, v, s in got:
+        assert any(abs(float(a @ b) - s) < 1e-12 for a in every[q] for b in every[v])
+
+
 def test_lists_are_whole_where_buckets_hold_too_few(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=64).tolist()) for i in range(1200)]
