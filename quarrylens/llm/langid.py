@@ -12,11 +12,14 @@ sample is too small to show either tail); where they overlap it rejects one in 5
 latter, and up to one in 100 if the former ask for it.
 
 The sample takes at most ``per_language`` labelled texts of each language and ``most`` in all,
-by the order of a hash of their ids; texts over ``longest`` bytes are not taken.  Prediction
-reads whole texts.
+by the order of a hash of their ids; texts over ``longest`` bytes are not taken, nor languages
+beyond the ``languages`` most frequent ones.  Prediction reads whole texts.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and not
 accepted; rows with null labels only get predictions; without labelled rows all is ``und``.
+Each row is predicted for itself, repeated ids and repeated rows too; of rows that share an id
+the sample takes one, that of the smallest text hash.  Languages of equal probability go to the
+first by name.
 Output columns replace input columns of the same name.
 """
 
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrylens.llm.packed import frugal, small_batches
-from quarrylens.llm.sampling import smallest_hashes
+from quarrylens.llm.sampling import one_text_each, smallest_hashes
 from quarrylens.llm.words import U, byte_values, text_slices
 
 BITS = 15
@@ -170,12 +173,13 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = 8, rate
     return model
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = 500, most: int = 5000, longest: int = 200_000) -> Model | None:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = 500, most: int = 5000, longest: int = 200_000, languages: int = 2000) -> Model | None:
     """A model from a bounded sample of ``docs`` (see above), or None without labelled rows."""
     able = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).rlike("\\p{L}") & (F.octet_length(text_col) <= longest))
     ids = able.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__y"))
-    ids = smallest_hashes(ids, per_language).orderBy("__n", "__h").limit(most).select("__id").distinct()
-    chosen = able.join(F.broadcast(ids), F.col(id_col).eqNullSafe(F.col("__id")), "left_semi").limit(2 * most).select(F.col(text_col).alias("__t"), F.col(label_col).cast("string").alias("__y"))
+    ids = smallest_hashes(ids, per_language, languages).orderBy("__n", "__h", "__id", "__y").limit(most).select("__id").distinct()
+    chosen = able.join(F.broadcast(ids), F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    chosen = one_text_each(chosen.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"), F.col(label_col).cast("string").alias("__y")), "__id").select("__t", "__y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, data, offsets in text_slices(batches, "__t", SLICE):

@@ -14,8 +14,11 @@ The sample takes at most ``per_label`` texts of each label by the order of a has
 ids; texts over ``longest`` bytes are not taken.  Scoring reads whole texts.
 
 Defined results: a null or empty text, or one without a word of the vocabulary, has no
-neighbours and gets the probability of no evidence; without labels every score is 0.  Output
-columns replace input columns of the same name.
+neighbours and gets the probability of no evidence; without labels every score is 0.  Each row
+is scored for itself, repeated ids and repeated rows too; of rows that share an id the sample
+takes one for each label that the id has, that of the smallest text hash.  Examples of equal
+cosine come in the order of their places in the index.  Output columns replace input columns of
+the same name.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrylens.llm.packed import frugal, small_batches
-from quarrylens.llm.sampling import smallest_hashes
+from quarrylens.llm.sampling import one_text_each, smallest_hashes
 from quarrylens.llm.words import Words, mix, runs, text_slices
 
 SLICE = 1 << 20
@@ -191,8 +194,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     count = {r["__y"]: r["n"] for r in able.groupBy("__y").agg(F.count("*").alias("n")).collect()}
     if not count:
         return None
-    ids = smallest_hashes(able, per_label).select("__id", "__y")
-    chosen = docs.filter(F.octet_length(text_col) <= longest).join(F.broadcast(ids), F.col(id_col) == F.col("__id")).select("__id", "__y", F.col(text_col).alias("__t")).limit(4 * per_label)
+    ids = smallest_hashes(able, per_label).select("__id", "__y").distinct()
+    chosen = docs.filter(F.octet_length(text_col) <= longest).join(F.broadcast(ids), F.col(id_col) == F.col("__id"))
+    chosen = one_text_each(chosen.select("__id", "__y", F.col(text_col).alias("__t")), "__id", "__y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, data, offsets in text_slices(batches, "__t", SLICE):
