@@ -82,8 +82,18 @@ def tfidf(group_frequency: Column, document_frequency: Column, documents: Column
     return group_frequency * (F.log((documents + 1) / (document_frequency + 1)) + 1.0)
 
 
+def round_even(x: Column, digits: int = 2) -> Column:
+    """Rounded as the binary number that it is, ties to the even digit."""
+    return F.regexp_replace(F.format_number(x, digits), ",", "").cast("double")
+
+
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    return F.round(ratio(part, whole) * 100, digits)
+    return round_even(ratio(part, whole) * 100, digits)
+
+
+def timestamp(text: Column) -> Column:
+    """A timestamp from ISO 8601 text, null where it is none."""
+    return F.try_to_timestamp(text)
 
 
 def canonical_map(m: Column) -> Column:

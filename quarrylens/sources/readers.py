@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
+import io
 import json
 import random
+from itertools import islice
 from pathlib import Path
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Lines of a file that are unpacked at once.
+LINES = 10_000
+
+
 def read_manifest(path: str) -> dict:
     """A JSON manifest, with or without a byte order mark."""
     return json.loads(Path(path).read_text(encoding="utf-8-sig"))
@@ -42,9 +51,9 @@ def sample_lines(total: int, size: int, seed: int) -> list[int]:
 def read_envelopes(spark: SparkSession, path: str, lines: list[int] | None = None) -> DataFrame:
     """One gzip file's lines as (source_file, source_line_number, raw_json, raw_bytes_base64).
 
-    A gzip file is one partition in file order, so the running id is the line number.  Lines
-    that are no UTF-8 keep their bytes as base64."""
-    rows = spark.read.text(path).select(F.lit(Path(path).name).alias("source_file"), (F.monotonically_increasing_id() + 1).alias("source_line_number"), "value")
+    A gzip file is one partition in file order, so the running id is the line number; only a line
+    feed ends a line.  Lines that are no UTF-8 keep their bytes as base64."""
+    rows = spark.read.option("lineSep", "\n").text(path).select(F.lit(Path(path).name).alias("source_file"), (F.monotonically_increasing_id() + 1).alias("source_line_number"), "value")
     good = F.is_valid_utf8("value")
     rows = rows.select("source_file", "source_line_number", F.when(good, F.col("value")).alias("raw_json"), F.when(~good, F.base64(F.col("value").cast("binary"))).alias("raw_bytes_base64"))
     if lines is None:
@@ -54,22 +63,21 @@ def read_envelopes(spark: SparkSession, path: str, lines: list[int] | None = Non
 
 
 def read_many_envelopes(spark: SparkSession, glob: str) -> DataFrame:
-    """The same over many files of any size and splitting: lines are numbered where each file is read whole."""
-    import pandas as pd
+    """The same over many files: lines are numbered where each file is read whole, and unpacked a block of lines at a time."""
+
+    def kept(line: bytes) -> tuple[str | None, str | None]:
+        try:
+            return line.decode(), None
+        except UnicodeDecodeError:
+            return None, base64.b64encode(line).decode()
 
     def run(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                data = gzip.decompress(content) if path.endswith(".gz") else content
-                out = []
-                for n, line in enumerate(data.splitlines(), 1):
-                    try:
-                        out.append((path.rsplit("/", 1)[-1], n, line.decode(), None))
-                    except UnicodeDecodeError:
-                        import base64
-
-                        out.append((path.rsplit("/", 1)[-1], n, None, base64.b64encode(line).decode()))
-                yield pd.DataFrame(out, columns=["source_file", "source_line_number", "raw_json", "raw_bytes_base64"])
+                name, packed = path.rsplit("/", 1)[-1], io.BytesIO(content)
+                lines = enumerate(gzip.open(packed) if name.endswith(".gz") else packed, 1)
+                while block := [(name, n, *kept(line.removesuffix(b"\n"))) for n, line in islice(lines, LINES)]:
+                    yield pd.DataFrame(block, columns=["source_file", "source_line_number", "raw_json", "raw_bytes_base64"])
 
     return spark.read.format("binaryFile").load(glob).select("path", "content").mapInPandas(run, "source_file string, source_line_number long, raw_json string, raw_bytes_base64 string")
 
@@ -80,7 +88,7 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType | str, patt
     if not strict:
         found = reader.schema(schema).json(path)
     else:
-        lines = reader.text(path).filter(F.trim("value") != "")
+        lines = reader.option("lineSep", "\n").text(path).filter(F.trim("value") != "")
         value = F.expr("try_parse_json(value)")
         is_object = F.coalesce(F.expr("schema_of_variant(try_parse_json(value))").startswith("OBJECT"), F.lit(False))
         text = F.when(value.isNotNull() & is_object, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("not a JSON object: "), F.col("_metadata.file_path"), F.lit(": "), F.left("value", F.lit(80)))))

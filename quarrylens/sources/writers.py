@@ -5,11 +5,10 @@ from __future__ import annotations
 import csv
 import json
 import os
-import shutil
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -41,8 +40,8 @@ def write_review_csv(df: DataFrame, path: str, most: int = 100_000) -> int:
 
 
 def write_shards(df: DataFrame, path: str, key: str, shards: int) -> None:
-    """NDJSON files by a hash of the key, sorted within."""
-    df.repartition(shards, F.pmod(F.xxhash64(key), F.lit(shards))).sortWithinPartitions(key).write.mode("errorifexists").json(path)
+    """NDJSON files by a hash of the key, sorted within: as many as asked for, where each has a key."""
+    df.repartition(shards, key).sortWithinPartitions(key).write.mode("errorifexists").json(path)
 
 
 def write_by(df: DataFrame, path: str, key: str, records_per_file: int = 0) -> None:
@@ -58,17 +57,28 @@ def write_sidecar(path: str, content: dict) -> None:
     os.replace(temporary, path)
 
 
+def _stored(path: str) -> tuple:
+    """The file system that Spark uses for a path, and the path on it."""
+    spark = SparkSession.active()
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
 def publish(folder: str, fill: Callable[[str], None]) -> None:
-    """Fills a temporary folder and renames it; on an error nothing is left."""
-    if os.path.exists(folder):
+    """Fills a temporary folder and renames it, in any store that Spark writes to; on an error nothing is left."""
+    store, target = _stored(folder)
+    if store.exists(target):
         raise FileExistsError(folder)
-    temporary = f"{folder}.tmp"
-    os.makedirs(temporary)
+    _, temporary = _stored(f"{folder}.tmp")
+    if store.exists(temporary):
+        raise FileExistsError(f"{folder}.tmp")
+    store.mkdirs(temporary)
     try:
-        fill(temporary)
-        os.rename(temporary, folder)
+        fill(f"{folder}.tmp")
+        if not store.rename(temporary, target):
+            raise OSError(f"{folder}.tmp can't be renamed")
     except BaseException:
-        shutil.rmtree(temporary, ignore_errors=True)
+        store.delete(temporary, True)
         raise
 
 
@@ -77,12 +87,14 @@ def append_new(done_path: str, work: DataFrame, key: str, step: Callable[[DataFr
 
     With ``only_status`` records of another status are tried again."""
     spark = work.sparkSession
-    if Path(done_path).exists():
+    store, at = _stored(done_path)
+    resumed = store.exists(at)
+    if resumed:
         done = spark.read.parquet(done_path)
         if only_status is not None:
             done = done.filter(F.col(status_col) == only_status)
         work = work.join(done.select(key).distinct(), key, "left_anti")
-    before = spark.read.parquet(done_path).count() if Path(done_path).exists() else 0
+    before = spark.read.parquet(done_path).count() if resumed else 0
     step(work).write.mode("append").parquet(done_path)
     return spark.read.parquet(done_path).count() - before
 

@@ -1,3 +1,5 @@
+import base64
+import gzip
 import json
 
 import numpy as np
@@ -116,3 +118,56 @@ def test_titles_and_maps(spark):
     assert pick(scalars.canonical_map(F.create_map(F.lit("b"), F.lit(1), F.lit("a"), F.lit(2))))[0].key == "a"
     with pytest.raises(Exception, match="out of range"):
         pick(scalars.sentiment_label(F.lit(1.5)))
+
+
+def test_only_a_line_feed_ends_a_line(spark, tmp_path):
+    data = b'{"a":1}\n{"a":"x\ry"}\r\n\xff\r\n{"b":2}'
+    (tmp_path / "f.jsonl.gz").write_bytes(gzip.compress(data))
+    (tmp_path / "g.jsonl").write_bytes(data + b"\n")
+    want = [(1, '{"a":1}'), (2, '{"a":"x\ry"}\r'), (3, None), (4, '{"b":2}')]
+    own = sorted(readers.read_envelopes(spark, str(tmp_path / "f.jsonl.gz")).collect(), key=lambda r: r.source_line_number)
+    assert [(r.source_line_number, r.raw_json) for r in own] == want and base64.b64decode(own[2].raw_bytes_base64) == b"\xff\r"
+    many = readers.read_many_envelopes(spark, str(tmp_path / "*.json*")).collect()
+    for name in ("f.jsonl.gz", "g.jsonl"):
+        rows = sorted((r for r in many if r.source_file == name), key=lambda r: r.source_line_number)
+        assert [(r.source_line_number, r.raw_json) for r in rows] == want
+
+
+def test_blocks_of_lines(spark, tmp_path, monkeypatch):
+    (tmp_path / "f.jsonl.gz").write_bytes(gzip.compress(b"".join(b"%d\n" % i for i in range(25))) + gzip.compress(b"x"))
+    monkeypatch.setattr(readers, "LINES", 10)
+    rows = readers.read_many_envelopes(spark, str(tmp_path / "f.jsonl.gz")).collect()
+    assert sorted((r.source_line_number, r.raw_json) for r in rows) == [(i + 1, str(i)) for i in range(25)] + [(26, "x")]
+
+
+def test_as_many_shards_as_asked(spark, tmp_path):
+    writers.write_shards(spark.range(2000), str(tmp_path / "s"), "id", 16)
+    files = list((tmp_path / "s").glob("part-*.json"))
+    assert len(files) == 16
+    for f in files:
+        ids = [json.loads(x)["id"] for x in f.read_text().splitlines()]
+        assert ids and ids == sorted(ids)
+
+
+def test_publish_and_resume_by_a_store_path(spark, tmp_path):
+    folder = f"file://{tmp_path}/pub"
+    writers.publish(folder, lambda at: spark.range(3).write.parquet(f"{at}/rows"))
+    assert spark.read.parquet(f"{folder}/rows").count() == 3 and not (tmp_path / "pub.tmp").exists()
+    with pytest.raises(FileExistsError):
+        writers.publish(folder, lambda at: None)
+    with pytest.raises(ZeroDivisionError):
+        writers.publish(f"file://{tmp_path}/other", lambda at: 1 / 0)
+    assert not (tmp_path / "other").exists() and not (tmp_path / "other.tmp").exists()
+    work = spark.range(5).withColumnRenamed("id", "k")
+    done = f"file://{tmp_path}/done"
+    assert writers.append_new(done, work.limit(2), "k", lambda df: df) == 2
+    assert writers.append_new(done, work, "k", lambda df: df) == 3 and writers.append_new(done, work, "k", lambda df: df) == 0
+
+
+def test_rounding_and_timestamps(spark):
+    numbers = [0.125, 0.375, 2.675, 1234567.885, -0.125, 1e9 + 0.005, 0.0]
+    df = spark.createDataFrame([(x,) for x in [*numbers, None]], "x double")
+    assert [r.y for r in df.select(scalars.round_even(F.col("x")).alias("y")).collect()] == [*(round(x, 2) for x in numbers), None]
+    stamps = spark.createDataFrame([("2024-02-29T12:00:00Z",), ("2024-02-29T12:00:00+02:00",), ("2024-02-30T12:00:00Z",), (None,)], "t string")
+    got = [r.s for r in stamps.select(F.unix_timestamp(scalars.timestamp(F.col("t"))).alias("s")).collect()]
+    assert got == [1709208000, 1709200800, None, None]
