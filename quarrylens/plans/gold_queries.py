@@ -94,9 +94,9 @@ def api_categories(spark, d):
     return repository.categories(_products(spark, d))
 
 
-@query(f"{CTE} SELECT * FROM products WHERE (lower(title) LIKE '%an%' OR lower(CAST(product_id AS VARCHAR)) LIKE '%an%') AND category = 'ASIA'")
+@query(f"{CTE} SELECT * FROM products WHERE (lower(title) LIKE '%n_2%' OR lower(CAST(product_id AS VARCHAR)) LIKE '%n_2%') AND category = 'ASIA'")
 def api_product_search(spark, d):
-    return repository.search_products(_products(spark, d), "An", category="ASIA")
+    return repository.search_products(_products(spark, d), "N_2", category="ASIA")
 
 
 @query(f"{CTE} SELECT product_id, title, review_count FROM products ORDER BY review_count DESC, product_id LIMIT 5 OFFSET 5")
@@ -163,7 +163,7 @@ def improvement_chunks(spark, d):
 
 
 @query(
-    f"""{CTE}, months AS (SELECT DISTINCT review_month FROM series), keys AS (SELECT DISTINCT product_id, taxonomy_id, sentiment FROM series WHERE product_id < 5)
+    f"""{CTE}, months AS (SELECT DISTINCT review_month FROM series), keys AS (SELECT DISTINCT product_id, taxonomy_id, sentiment FROM series)
     SELECT k.*, m.review_month, x.review_count FROM keys k CROSS JOIN months m LEFT JOIN series x ON x.product_id = k.product_id AND x.taxonomy_id = k.taxonomy_id AND x.sentiment = k.sentiment AND x.review_month = m.review_month"""
 )
 def trend_grid(spark, d):

@@ -15,7 +15,7 @@ def bound_parameters(spark, d):
     return spark.sql(sql, args={"least": 50000, "priority": "1-URGENT"}, orders=table(spark, d, "orders"))
 
 
-ASPECTS = "SELECT l_orderkey AS review_id, l_suppkey AS product_id, l_linenumber AS sentence_id, 'line ' || l_partkey AS sentence_text, 'a' || l_partkey % 9 AS aspect_text, CASE l_returnflag WHEN 'A' THEN 'positive' WHEN 'R' THEN 'negative' ELSE 'neutral' END AS aspect_sentiment FROM lineitem WHERE l_orderkey % 5 = 0"
+ASPECTS = "SELECT l_orderkey AS review_id, l_suppkey AS product_id, l_linenumber AS sentence_id, 'line ' || l_partkey AS sentence_text, 'a' || l_partkey % 9 AS aspect_text, CASE l_returnflag WHEN 'A' THEN 'positive' WHEN 'R' THEN 'negative' ELSE 'neutral' END AS aspect_sentiment FROM lineitem"
 
 
 def _aspects(spark, d):
@@ -64,7 +64,8 @@ def matched_improvements(spark, d):
     UNION ALL SELECT 'duplicate_theme', (SELECT count(*) FROM (SELECT theme_id FROM themes GROUP BY theme_id HAVING count(*) > 1))
     UNION ALL SELECT 'ratio_out_of_range', (SELECT count(*) FROM themes WHERE ratio_value NOT BETWEEN 0 AND 1)
     UNION ALL SELECT 'unknown_product', (SELECT count(*) FROM themes t WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.product_id = t.product_id))
-    UNION ALL SELECT 'facet_mismatch', 0"""
+    UNION ALL SELECT 'facet_mismatch', (SELECT count(*) FROM (SELECT p.product_id, f.s, (SELECT count(*) FROM themes t WHERE t.product_id = p.product_id AND t.sentiment = f.s) AS theme_count FROM products p, (VALUES ('positive'), ('negative')) f(s)) x
+        LEFT JOIN (SELECT product_id, sentiment, count(*) AS n FROM themes GROUP BY ALL) c ON c.product_id = x.product_id AND c.sentiment = x.s WHERE x.theme_count IS DISTINCT FROM coalesce(c.n, 0))"""
 )
 def gold_checks(spark, d):
     """The aggregates' own checks, all collected before a caller decides."""

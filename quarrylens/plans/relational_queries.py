@@ -27,9 +27,9 @@ def safe_dimension_join(spark, d):
     return duplicates.safe_dimension_join(facts, dim, "k", "id").select("s_suppkey", "k", "metadata_key_count", "id_joined", "metadata_join_status")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")
 def orphan_anti(spark, d):
-    customer, orders = table(spark, d, "customer"), table(spark, d, "orders")
+    customer, orders = table(spark, d, "customer"), table(spark, d, "orders").filter("o_orderstatus = 'P'")
     return customer.join(orders, customer["c_custkey"] == orders["o_custkey"], "left_anti").select("c_custkey", "c_name")
 
 

@@ -163,9 +163,10 @@ def tfidf_topk(spark, d):
     return out.withColumn("tfidf_score", F.round("tfidf_score", 6))
 
 
-@query("SELECT conv_id, turn FROM conversations WHERE regexp_matches(coalesce(text, ''), '(?i)\\b(?:wish(?:es|ed|ing)?|need(?:s|ed|ing)?|should|could|would like|if only|hope(?:s|d|ing)?)\\b')")
+@query("SELECT conv_id, turn FROM conversations WHERE regexp_matches(coalesce(CASE turn % 4 WHEN 0 THEN 'They would like ' || text WHEN 1 THEN 'Needless ' || text ELSE text END, ''), '(?i)\\b(?:wish(?:es|ed|ing)?|need(?:s|ed|ing)?|should|could|would like|if only|hope(?:s|d|ing)?)\\b')")
 def demand_candidates(spark, d):
-    return text.demand_candidates(table(spark, d, "conversations"), "text").select("conv_id", "turn")
+    said = F.when(F.col("turn") % 4 == 0, F.concat(F.lit("They would like "), "text")).when(F.col("turn") % 4 == 1, F.concat(F.lit("Needless "), "text")).otherwise(F.col("text"))
+    return text.demand_candidates(table(spark, d, "conversations").withColumn("text", said), "text").select("conv_id", "turn")
 
 
 PATHS = "CASE p_partkey % 6 WHEN 0 THEN 'Appliances > Ice Makers' WHEN 1 THEN 'Appliances > Parts & Accessories > Dryers' WHEN 2 THEN 'Dryers' WHEN 3 THEN 'Appliances > Kettles' WHEN 4 THEN '' ELSE 'Refrigerators >  Washers ' END"
@@ -282,7 +283,7 @@ def _decisions(spark, d):
 
 
 DECISIONS = """
-WITH clusters AS (SELECT CAST(p_partkey AS VARCHAR) AS cluster_id, p_partkey AS k, p_type AS category, CAST(p_size AS BIGINT) AS review_count, p_partkey % 3 + 1 AS product_count FROM part WHERE p_partkey <= 200),
+WITH clusters AS (SELECT CAST(p_partkey AS VARCHAR) AS cluster_id, p_partkey AS k, p_type AS category, CAST(p_size AS BIGINT) AS review_count, p_partkey % 3 + 1 AS product_count FROM part),
 named AS (SELECT category, cluster_id, 'Theme ' || k % 4 AS name FROM clusters WHERE k % 10 <> 0 UNION ALL SELECT category, cluster_id, 'Theme ' || k % 4 FROM clusters WHERE k % 10 <> 0 AND k % 25 = 1
   UNION ALL SELECT category, 'x' || cluster_id, 'Theme ' || k % 4 FROM clusters WHERE k % 10 <> 0 AND k % 25 = 2)
 """

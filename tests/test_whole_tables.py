@@ -1,23 +1,27 @@
-"""Queries over whole tables, against their SQL without the part of it that takes a subset."""
+"""Queries that read a part of a table once: neither they nor their SQL do so now."""
 
 import pytest
 
-from quarrylens.plans.catalogue import ORACLE, QUERIES
-from tests.compare import compare, connect
+from quarrylens.plans.catalogue import ORACLE
+from tests.compare import connect
 
 SUBSETS = {
-    "decision_validation": " WHERE p_partkey <= 200",
-    "taxonomy_expand": " WHERE p_partkey <= 200",
-    "global_taxonomy": " WHERE p_partkey <= 200",
-    "attribution_join": " WHERE l_orderkey % 5 = 0",
-    "theme_candidates": " WHERE l_orderkey % 5 = 0",
-    "trend_grid": " WHERE product_id < 5",
+    "decision_validation": "p_partkey <= 200",
+    "taxonomy_expand": "p_partkey <= 200",
+    "global_taxonomy": "p_partkey <= 200",
+    "attribution_join": "l_orderkey % 5 = 0",
+    "theme_candidates": "l_orderkey % 5 = 0",
+    "trend_grid": "product_id < 5",
 }
 
 
 @pytest.mark.parametrize("name", sorted(SUBSETS))
-def test_query_reads_whole_tables(spark, sf, name):
-    got, want, _ = compare(spark, connect(sf), sf, QUERIES[name], ORACLE[name].replace(SUBSETS[name], ""))
-    assert got[0] == want[0]
-    assert len(got[1]) == len(want[1])
-    assert got[1] == want[1]
+def test_sql_reads_whole_tables(name):
+    # test_catalogue holds the query against this SQL
+    assert SUBSETS[name] not in ORACLE[name]
+
+
+@pytest.mark.parametrize("name", ["api_product_search", "orphan_anti", "demand_candidates"])
+def test_the_data_hit(sf, name):
+    con = connect(sf)
+    assert con.sql(f"SELECT count(*) FROM ({ORACLE[name]})").fetchall()[0][0] > 0
