@@ -1,14 +1,14 @@
 """Packing of token ids into windows by Karmarkar-Karp multiway differencing.
 
 A document's ids (with an end id) fill whole windows as far as they go; the remainders of a
-group of documents are dealt into k windows, k the least number that holds them.  Differencing
-starts with one partition a remainder (one filled window, the others empty), always takes the
-two partitions of the largest spread and joins the fullest windows of one with the emptiest of
-the other, until one partition is left whose windows are nearly equal.  If a window exceeds the
-capacity, the count rises by one and the group is dealt again, while that adds at most
-``slack`` of padding; after that what exceeds the capacity is cut off and fills windows with
-room (documents may be cut anywhere).  So a group is padded by less than one window, or by
-``slack``.
+group of documents are dealt into k windows, k at first the least number that could hold them.
+Differencing starts with one partition a remainder (one filled window, the others empty), always
+takes the two partitions of the largest spread and joins the fullest windows of one with the
+emptiest of the other, until one partition is left whose windows are nearly equal.  Where a
+window exceeds the capacity, the remainders of up to a quarter of a window are dealt once more,
+the largest first, each into the fullest window that has room for it; if one finds none, the
+count rises by one and the group is dealt again.  Only documents longer than a window are cut,
+at whole windows.
 
 A group is a bounded number of neighbouring documents of one task: nothing is shuffled and no
 task holds more than a slice of documents and one group's remainders.
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -104,40 +105,37 @@ def differencing(sizes: list[int], k: int) -> list[list[int]]:
     return items + [[] for _ in range(k - len(items))]
 
 
-def deal(sizes: list[int], capacity: int, slack: float = 0.005) -> list[list[tuple[int, int, int]]]:
-    """Windows of (item, start, length) that hold all items, each of ``capacity`` at most."""
-    total = sum(sizes)
-    if not total:
-        return []
-    least = -(-total // capacity)
-    k = least
-    while True:
-        parts = differencing(sizes, k)
-        if max(sum(sizes[i] for i in p) for p in parts) <= capacity or k + 1 - least > slack * least:
-            break
+def refilled(sizes: list[int], parts: list[list[int]], capacity: int) -> list[list[int]] | None:
+    """The windows with their items of up to a quarter of the capacity dealt anew; None if one finds no room."""
+    small = capacity // 4
+    windows = [[i for i in p if sizes[i] > small] for p in parts]
+    rooms = sorted((capacity - sum(sizes[i] for i in own), w) for w, own in enumerate(windows))
+    if rooms[0][0] < 0:
+        return None
+    for i in sorted((i for p in parts for i in p if sizes[i] <= small), key=lambda i: (-sizes[i], i)):
+        at = bisect_left(rooms, (sizes[i], -1))
+        if at == len(rooms):
+            return None
+        room, w = rooms.pop(at)
+        windows[w].append(i)
+        insort(rooms, (room - sizes[i], w))
+    return windows
+
+
+def deal(sizes: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
+    """Windows of (item, start, length) that hold all items, each of ``capacity`` at most; items are
+    cut only at multiples of the capacity."""
+    windows = [[(i, at, capacity)] for i, s in enumerate(sizes) for at in range(0, s - s % capacity, capacity)]
+    items = [i for i, s in enumerate(sizes) if s % capacity]
+    rest = [sizes[i] % capacity for i in items]
+    k = -(-sum(rest) // capacity)
+    parts: list[list[int]] | None = None
+    while rest and parts is None:
+        parts = differencing(rest, k)
+        if max(sum(rest[i] for i in p) for p in parts) > capacity:
+            parts = refilled(rest, parts, capacity)
         k += 1
-    windows, cut = [], []
-    for p in parts:
-        room, own = capacity, []
-        for i in sorted(p, key=lambda i: -sizes[i]):
-            take = min(room, sizes[i])
-            if take:
-                own.append((i, 0, take))
-            if take < sizes[i]:
-                cut.append((i, take, sizes[i] - take))
-            room -= take
-        windows.append([room, own])
-    windows.sort(key=lambda w: w[0])
-    for i, start, left in cut:
-        while left:
-            w = windows[-1]
-            take = min(w[0], left)
-            w[1].append((i, start, take))
-            w[0] -= take
-            start, left = start + take, left - take
-            if not w[0]:
-                windows.sort(key=lambda w: w[0])
-    return [own for _, own in windows if own]
+    return windows + [[(items[j], sizes[items[j]] - rest[j], rest[j]) for j in p] for p in parts or [] if p]
 
 
 def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 1) -> DataFrame:
