@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrylens.operators.gold import mapped_insights
+from quarrylens.sources.storage import written
 
 
 def improvement_groups(insights: DataFrame) -> DataFrame:
@@ -29,34 +30,88 @@ def improvement_groups(insights: DataFrame) -> DataFrame:
     return groups.filter("negative_insight_count > 0").withColumn("input_id", F.left(F.sha2(key, 256), F.lit(24)))
 
 
-def insight_chunks(groups: DataFrame, budget: int, tokens: str = "size(split(x.evidence, ' '))") -> DataFrame:
-    """Order-preserving chunks of a group's insights within a token budget; a larger insight is a chunk of its own."""
-    folded = f"""aggregate(insights, cast(array() as array<struct<n: int, ids: array<string>>>), (a, x) ->
+def _chunked(groups: DataFrame, budget: int, tokens: str, item: str) -> DataFrame:
+    """``groups`` with chunk_index, token_count and items (strings, by the SQL ``item`` over an insight x)."""
+    folded = f"""aggregate(insights, cast(array() as array<struct<n: int, items: array<string>>>), (a, x) ->
         case when size(a) > 0 and element_at(a, -1).n + {tokens} <= {budget}
-             then concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).n + {tokens} as n, concat(element_at(a, -1).ids, array(cast(x.candidate_id as string))) as ids)))
-             else concat(a, array(struct({tokens} as n, array(cast(x.candidate_id as string)) as ids))) end)"""
-    return groups.withColumn("chunks", F.expr(folded)).select("input_id", "product_id", "taxonomy_id", F.posexplode("chunks").alias("chunk_index", "chunk")).select(
-        "input_id", "product_id", "taxonomy_id", F.col("chunk_index"), F.col("chunk.n").alias("token_count"), F.col("chunk.ids").alias("candidate_ids")
-    )
+             then concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).n + {tokens} as n, concat(element_at(a, -1).items, array({item})) as items)))
+             else concat(a, array(struct({tokens} as n, array({item}) as items))) end)"""
+    return groups.select("*", F.posexplode(F.expr(folded)).alias("chunk_index", "__chunk")).select("*", F.col("__chunk.n").alias("token_count"), F.col("__chunk.items").alias("items")).drop("__chunk")
+
+
+#: Words of an insight's evidence.
+TOKENS = "size(split(x.evidence, ' '))"
+
+
+def insight_chunks(groups: DataFrame, budget: int, tokens: str = TOKENS) -> DataFrame:
+    """Order-preserving chunks of a group's insights within a token budget; a larger insight is a chunk of its own."""
+    chunks = _chunked(groups, budget, tokens, "cast(x.candidate_id as string)")
+    return chunks.select("input_id", "product_id", "taxonomy_id", "chunk_index", "token_count", F.col("items").alias("candidate_ids"))
 
 
-def generate(groups: DataFrame, done: DataFrame, generator: Callable[[str], str], prompt_col: str = "prompt", retries: int = 0) -> DataFrame:
-    """Runs a generator over the groups that have no successful record yet, again up to ``retries``
-    times after an error; a failure is a record, not an error."""
+def _reply(model: Callable[[str], str | None], prompt: str, tries: int, check: Callable[[str], str | None] | None) -> tuple[str | None, str | None]:
+    """(text, None) or (None, the last problem)."""
+    problem = "no try"
+    for _ in range(tries):
+        try:
+            text = (model(prompt) or "").strip()
+            problem = "empty response" if not text else check(text) if check else None
+        except Exception as error:  # noqa: BLE001  each record keeps its own failure
+            problem = str(error) or type(error).__name__
+        if problem is None:
+            return text, None
+    return None, problem
+
+
+def generate(
+    groups: DataFrame, done: DataFrame, generator: Callable[[str], str] | None = None, prompt_col: str = "prompt", retries: int = 0,
+    load: Callable[[], Callable[[str], str]] | None = None, check: Callable[[str], str | None] | None = None,
+) -> DataFrame:
+    """Runs a generator over the groups that have no successful record yet; a failure is a record, not an error.
+
+    ``load`` makes the generator once a partition.  An error, an empty reply or one in which
+    ``check`` finds a problem is tried again up to ``retries`` times."""
     open_groups = groups.join(done.filter("generation_status = 'success'").select("input_id"), "input_id", "left_anti")
 
     def run(batches):
+        model = load() if load else generator
         for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                text, problem = "", "empty response"
-                for _ in range(retries + 1):
-                    try:
-                        text = (generator(getattr(row, prompt_col)) or "").strip()
-                        break
-                    except Exception as error:  # noqa: BLE001  each record keeps its own failure
-                        problem = str(error)
-                out.append((row.input_id, text or None, "success" if text else "failed", None if text else problem))
+            replies = [_reply(model, prompt, retries + 1, check) for prompt in pdf[prompt_col]]
+            out = [(i, text, "failed" if problem else "success", problem) for i, (text, problem) in zip(pdf["input_id"], replies, strict=True)]
             yield pd.DataFrame(out, columns=["input_id", "improvement_suggestion", "generation_status", "error_message"])
 
     return open_groups.select("input_id", prompt_col).mapInPandas(run, "input_id string, improvement_suggestion string, generation_status string, error_message string")
+
+
+def generate_by_size(
+    groups: DataFrame, done: DataFrame, load: Callable[[], Callable[[str], str]], budget: int, instructions: tuple[str, str, str],
+    retries: int = 2, check: Callable[[str], str | None] | None = None, tokens: str = TOKENS,
+) -> DataFrame:
+    """Suggestions for groups of any size, with ``generation_mode``: a group within the token budget is
+    one prompt (direct); of a larger one each chunk is summed up, and the summaries are the last
+    prompt (map_reduce).  A chunk that fails fails its group, and no other.
+
+    ``instructions`` open the prompts of whole groups, of chunks and of summaries; groups are those
+    of improvement_groups()."""
+    direct, of_chunk, of_summaries = instructions
+    line = "concat('- [', x.polarity, '] ', x.evidence)"
+    prompt = lambda head, lines: F.concat(F.lit(head + "\nTheme: "), F.col("name"), F.lit("\n"), F.array_join(lines, "\n"))
+    size = F.expr(f"aggregate(insights, 0, (a, x) -> a + {tokens})")
+    left = groups.join(done.filter("generation_status = 'success'").select("input_id"), "input_id", "left_anti")
+    none = done.limit(0)
+    small = left.filter(size <= budget).select("input_id", prompt(direct, F.expr(f"transform(insights, x -> {line})")).alias("prompt"))
+    first = generate(small, none, retries=retries, load=load, check=check).withColumn("generation_mode", F.lit("direct"))
+    chunks = _chunked(left.filter(size > budget), budget, tokens, line)
+    chunks = chunks.select(F.concat_ws("#", "input_id", F.col("chunk_index").cast("string")).alias("input_id"), prompt(of_chunk, F.col("items")).alias("prompt"))
+    parts = generate(chunks, none, retries=retries, load=load).select(
+        F.substring_index("input_id", "#", 1).alias("input_id"), F.substring_index("input_id", "#", -1).cast("int").alias("at"), "improvement_suggestion", "error_message"
+    )
+    whole = parts.groupBy("input_id").agg(
+        F.array_sort(F.collect_list(F.struct("at", "improvement_suggestion"))).alias("summaries"), F.min(F.when(F.col("error_message").isNotNull(), F.struct("at", "error_message"))).alias("failure")
+    ).join(left.select("input_id", "name"), "input_id")
+    # replies are read twice but asked for once
+    whole = written(whole)
+    failed = whole.filter("failure is not null").select("input_id", F.lit(None).cast("string").alias("improvement_suggestion"), F.lit("failed").alias("generation_status"), F.concat(F.lit("chunk "), F.col("failure.at").cast("string"), F.lit(": "), F.col("failure.error_message")).alias("error_message"))
+    last = whole.filter("failure is null").select("input_id", prompt(of_summaries, F.transform("summaries", lambda s: F.concat(F.lit("- "), s["improvement_suggestion"]))).alias("prompt"))
+    second = generate(last, none, retries=retries, load=load, check=check).unionByName(failed).withColumn("generation_mode", F.lit("map_reduce"))
+    return first.unionByName(second)

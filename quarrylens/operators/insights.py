@@ -41,9 +41,9 @@ def response_schema() -> dict:
 
 def ground(text: str, evidence: str) -> tuple[int, int]:
     """The one place of a quote in a text."""
-    places = [m.start() for m in re.finditer(f"(?={re.escape(evidence)})", text)]
+    places = occurrences(text, evidence)
     if len(places) == 1:
-        return places[0], places[0] + len(evidence)
+        return places[0]
     if places:
         raise Rejected("evidence has multiple exact matches")
     words = evidence.split()
@@ -56,18 +56,50 @@ def ground(text: str, evidence: str) -> tuple[int, int]:
     raise Rejected("evidence has multiple loose matches" if found else "evidence not found")
 
 
+def occurrences(text: str, evidence: str) -> list[tuple[int, int]]:
+    """All exact places of a quote in a text, overlapping ones too."""
+    return [(m.start(), m.start() + len(evidence)) for m in re.finditer(f"(?={re.escape(evidence)})", text)] if evidence else []
+
+
+def ground_at(text: str, evidence: str, occurrence: int | None) -> tuple[int, int]:
+    """The place of a quote that stands several times in a text, by its number from 0; without one as ground()."""
+    if occurrence is None:
+        return ground(text, evidence)
+    places = occurrences(text, evidence)
+    if not 0 <= occurrence < len(places):
+        raise Rejected("evidence has no such occurrence")
+    return places[occurrence]
+
+
+def ambiguity(df: DataFrame, text_col: str, evidence_col: str) -> DataFrame:
+    """One row: quotes, those that stand exactly once, several times or not at all in their texts, and the share of several."""
+    text, quote = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(evidence_col), F.lit(""))
+    # places are counted by trying each offset: overlapping ones count
+    places = F.when(quote == "", 0).otherwise(F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.substring(text, i, F.length(quote)) == quote)))
+    counted = df.select(places.alias("n")).agg(F.count("*").alias("quotes"), F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") > 1).alias("several"), F.count_if(F.col("n") == 0).alias("absent"))
+    return counted.withColumn("ambiguity_rate", F.col("several") / F.nullif(F.col("quotes"), F.lit(0)))
+
+
+def _one_of(value, allowed) -> bool:
+    return isinstance(value, str) and value in allowed
+
+
+#: What an insight must meet, in this order, and what is said where it doesn't.
+RULES = (
+    (lambda raw: isinstance(raw, dict) and set(raw) == set(FIELDS), "fields are missing or unknown"),
+    (lambda raw: isinstance(raw["topic_raw"], str) and raw["topic_raw"].strip(), "topic is empty"),
+    (lambda raw: isinstance(raw["evidence"], str) and raw["evidence"], "evidence is empty"),
+    (lambda raw: _one_of(raw["polarity"], POLARITIES), "polarity is not allowed"),
+    (lambda raw: _one_of(raw["target_scope"], TARGET_SCOPES), "target_scope is not allowed"),
+)
+
+
 def check_insight(text: str, raw) -> dict:
-    if not isinstance(raw, dict) or set(raw) != set(FIELDS):
-        raise Rejected("fields are missing or unknown")
-    if not isinstance(raw["topic_raw"], str) or not raw["topic_raw"].strip():
-        raise Rejected("topic is empty")
-    if not isinstance(raw["evidence"], str) or not raw["evidence"]:
-        raise Rejected("evidence is empty")
-    for name, allowed in (("polarity", POLARITIES), ("target_scope", TARGET_SCOPES)):
-        if not isinstance(raw[name], str) or raw[name] not in allowed:
-            raise Rejected(f"{name} is not allowed")
+    broken = next((problem for holds, problem in RULES if not holds(raw)), None)
+    if broken:
+        raise Rejected(broken)
     a, b = ground(text, raw["evidence"])
-    return {"topic_raw": raw["topic_raw"].strip(), "polarity": raw["polarity"], "evidence": text[a:b], "evidence_char_start": a, "evidence_char_end": b, "target_scope": raw["target_scope"]}
+    return raw | {"topic_raw": raw["topic_raw"].strip(), "evidence": text[a:b], "evidence_char_start": a, "evidence_char_end": b}
 
 
 def accept(text: str, response: str | None) -> dict:

@@ -13,8 +13,24 @@ def longest_gap(df: DataFrame, key: str, position: Column) -> DataFrame:
     return seen.withColumn("gap", gap).groupBy(key).agg(F.coalesce(F.max("gap"), F.lit(0)).cast("long").alias("longest_gap"), F.count("*").alias("active"))
 
 
+def exact_percentiles(df: DataFrame, keys: list[str], column: str, shares: list[float], floor: bool = False) -> DataFrame:
+    """Percentiles of each group by rank: the nearest rank, or with ``floor`` the value at index
+    floor((n - 1) * share).  Nulls don't count.
+
+    Equal values are counted before they are shuffled and ranks are running sums over sorted
+    counts, which spill: no task holds a group's values."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("__n"))
+    whole = counts.groupBy(*keys).agg(F.sum("__n").alias("__all"))
+    upto = F.sum("__n").over(Window.partitionBy(*keys).orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counts.withColumn("__upto", upto).join(whole, keys)
+    rank = (lambda p: F.floor((F.col("__all") - 1) * F.lit(p)) + 1) if floor else (lambda p: F.greatest(F.ceil(F.col("__all") * F.lit(p)), F.lit(1)))
+    return ranked.groupBy(*keys).agg(*[F.min(F.when(F.col("__upto") >= rank(p), F.col(column))).alias(f"p{round(p * 100)}") for p in shares])
+
+
 def nearest_rank(column: str, *shares: float) -> list[Column]:
-    """Exact nearest-rank percentiles: the smallest value with at least that share at or below."""
+    """Exact nearest-rank percentiles: the smallest value with at least that share at or below.
+
+    As an aggregate it holds a group's distinct values; exact_percentiles() does not."""
     return [F.expr(f"percentile_disc({p}) within group (order by {column})").alias(f"p{round(p * 100)}") for p in shares]
 
 
@@ -26,7 +42,7 @@ def approximate_percentiles(column: str, *shares: float, accuracy: int = 1000) -
 def floor_percentile(column: str, share: float) -> Column:
     """The value at index floor((n - 1) * share): not the nearest rank.
 
-    Collects a group's values; for groups of bounded size."""
+    Collects a group's values; for groups of bounded size.  For others see exact_percentiles()."""
     values = F.sort_array(F.collect_list(column))
     return F.element_at(values, (F.floor((F.size(values) - 1) * F.lit(share)) + 1).cast("int"))
 

@@ -130,12 +130,12 @@ def list_agg_sorted(spark, d):
 
 @query("SELECT l_returnflag, quantile_disc(l_quantity, 0.5) AS p50, quantile_disc(l_quantity, 0.9) AS p90, quantile_disc(l_quantity, 0.95) AS p95, quantile_disc(l_quantity, 0.99) AS p99 FROM lineitem GROUP BY l_returnflag")
 def percentiles_exact(spark, d):
-    return table(spark, d, "lineitem").groupBy("l_returnflag").agg(*trends.nearest_rank("l_quantity", 0.5, 0.9, 0.95, 0.99))
+    return trends.exact_percentiles(table(spark, d, "lineitem"), ["l_returnflag"], "l_quantity", [0.5, 0.9, 0.95, 0.99])
 
 
 @query("SELECT source, list_extract(list_sort(list(n_chars)), CAST(floor((count(*) - 1) * 0.95) AS BIGINT) + 1) AS p95 FROM documents GROUP BY source")
 def percentile_floor(spark, d):
-    return table(spark, d, "documents").groupBy("source").agg(trends.floor_percentile("n_chars", 0.95).alias("p95"))
+    return trends.exact_percentiles(table(spark, d, "documents"), ["source"], "n_chars", [0.95], floor=True)
 
 
 @query("SELECT lang, source, n, rank FROM (SELECT lang, source, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, source) AS rank FROM documents GROUP BY lang, source) WHERE rank <= 3")

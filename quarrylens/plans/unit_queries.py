@@ -139,3 +139,14 @@ def bounded_profile(spark, d):
 @query("SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS keys, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM orders")
 def fingerprint_keys(spark, d):
     return quality.fingerprint(table(spark, d, "orders"), "o_orderkey").drop("hash_sum")
+
+
+@query(
+    """WITH x AS (SELECT CASE p_partkey % 3 WHEN 0 THEN p_name || ' and ' || p_name WHEN 1 THEN p_name ELSE 'nothing of it' END AS t, p_name AS q FROM part),
+    c AS (SELECT (length(t) - length(replace(t, q, ''))) / length(q) AS n FROM x)
+    SELECT count(*) AS quotes, count(*) FILTER (n = 1) AS once, count(*) FILTER (n > 1) AS several, count(*) FILTER (n = 0) AS absent, count(*) FILTER (n > 1) / CAST(count(*) AS DOUBLE) AS ambiguity_rate FROM c"""
+)
+def evidence_ambiguity(spark, d):
+    name = F.col("p_name")
+    text = F.when(F.col("p_partkey") % 3 == 0, F.concat(name, F.lit(" and "), name)).when(F.col("p_partkey") % 3 == 1, name).otherwise("nothing of it")
+    return insights.ambiguity(table(spark, d, "part").select(text.alias("text"), name.alias("quote")), "text", "quote")

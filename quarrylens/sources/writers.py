@@ -8,6 +8,7 @@ import os
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,29 @@ def write_parquet(df: DataFrame, path: str, compression: str = "zstd") -> None:
     df.write.mode("errorifexists").option("compression", compression).parquet(path)
 
 
+def convert_json(spark: SparkSession, staged: str, path: str, schema: str) -> DataFrame:
+    """A staging folder of NDJSON as Parquet; lines that don't fit the schema fail."""
+    write_parquet(spark.read.schema(schema).option("mode", "FAILFAST").json(staged), path)
+    return spark.read.parquet(path)
+
+
+def write_npy(df: DataFrame, path: str, order_col: str, vector_col: str, most: int = 1_000_000) -> tuple[int, int]:
+    """One .npy matrix of 32-bit numbers, rows by ``order_col``, for exchange; returns its shape.
+
+    Rows are streamed through the driver; a larger table is refused, not cut."""
+    rows = df.count()
+    if rows > most:
+        raise ValueError(f"more than {most} rows")
+    width = df.select(F.size(vector_col).alias("n")).agg(F.min("n"), F.max("n")).first()
+    if width[0] != width[1]:
+        raise ValueError("vectors of several lengths")
+    out = np.lib.format.open_memmap(path, mode="w+", dtype=np.float32, shape=(rows, width[0] or 0))
+    for n, row in enumerate(df.orderBy(order_col).select(vector_col).toLocalIterator()):
+        out[n] = row[0]
+    out.flush()
+    return out.shape
+
+
 def write_sorted(df: DataFrame, path: str, *keys: str) -> None:
     """Files in order of the keys, across and within."""
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("errorifexists").option("compression", "zstd").parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quarrylens import config
 from quarrylens.functions import scalars
-from quarrylens.operators import improve, prompts, vectors
+from quarrylens.operators import improve, insights, prompts, trends, vectors
 from quarrylens.operators.repository import InsightRepository, error_envelope
 from quarrylens.sources import readers, writers
 
@@ -171,3 +171,72 @@ def test_rounding_and_timestamps(spark):
     stamps = spark.createDataFrame([("2024-02-29T12:00:00Z",), ("2024-02-29T12:00:00+02:00",), ("2024-02-30T12:00:00Z",), (None,)], "t string")
     got = [r.s for r in stamps.select(F.unix_timestamp(scalars.timestamp(F.col("t"))).alias("s")).collect()]
     assert got == [1709208000, 1709200800, None, None]
+
+
+def test_generation_by_size(spark, tmp_path):
+    item = lambda k, words: (0, str(k), f"r{k}", "negative", " ".join([f"w{k}"] * words))
+    rows = [("small", "Noise", [item(1, 2), item(2, 2)]), ("large", "Heat", [item(k, 3) for k in range(5)]), ("broken", "Smell", [item(k, 3) if k != 3 else (0, "3", "r3", "negative", "boom x y") for k in range(5)]), ("done", "Old", [item(1, 1)])]
+    groups = spark.createDataFrame(rows, "input_id string, name string, insights array<struct<rank:int,candidate_id:string,review_id:string,polarity:string,evidence:string>>").coalesce(1)
+    done = spark.createDataFrame([("done", "success")], "input_id string, generation_status string")
+    log = tmp_path / "loads"
+
+    def load():
+        with open(log, "a") as f:
+            f.write("x")
+
+        def model(prompt):
+            if "boom" in prompt:
+                raise RuntimeError("no model")
+            return f"<{prompt.splitlines()[0]}|{prompt.count(chr(10) + '- ')}>"
+
+        return model
+
+    got = {r.input_id: r for r in improve.generate_by_size(groups, done, load, 6, ("DIRECT", "CHUNK", "REDUCE"), retries=1).collect()}
+    assert set(got) == {"small", "large", "broken"}
+    assert (got["small"].generation_mode, got["small"].improvement_suggestion) == ("direct", "<DIRECT|2>")
+    # five insights of three words are three chunks of six words
+    assert (got["large"].generation_mode, got["large"].improvement_suggestion) == ("map_reduce", "<REDUCE|3>")
+    assert got["broken"].generation_status == "failed" and got["broken"].error_message == "chunk 1: no model" and got["broken"].improvement_suggestion is None
+    tries = []
+    assert improve._reply(lambda p: tries.append(p) or "bad", "p", 3, lambda text: "not a reply") == (None, "not a reply") and len(tries) == 3
+    work = spark.createDataFrame([(str(k), "p") for k in range(50)], "input_id string, prompt string").coalesce(1)
+    log.unlink()
+    assert improve.generate(work, done, load=load).count() == 50 and log.read_text() == "x"
+
+
+def test_occurrences(spark):
+    text = "aXbXc aXb"
+    assert insights.occurrences(text, "aXb") == [(0, 3), (6, 9)] and insights.occurrences("aaa", "aa") == [(0, 2), (1, 3)] and insights.occurrences("a", "") == []
+    assert insights.ground_at(text, "aXb", 1) == (6, 9) and insights.ground_at(text, "bXc", None) == (2, 5)
+    for evidence, n in (("aXb", 2), ("aXb", -1), ("zz", 0), ("aXb", None)):
+        with pytest.raises(insights.Rejected):
+            insights.ground_at(text, evidence, n)
+    df = spark.createDataFrame([("aaa", "aa"), ("abc", "bc"), ("abc", "x"), (None, "x"), ("abc", None), ("", "")], "t string, e string")
+    assert insights.ambiguity(df, "t", "e").first().asDict() == {"quotes": 6, "once": 1, "several": 1, "absent": 4, "ambiguity_rate": 1 / 6}
+    assert insights.ambiguity(df.limit(0), "t", "e").first().ambiguity_rate is None
+
+
+def test_exact_percentiles(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(k), int(v)) for k, v in zip(rng.integers(0, 3, 500), rng.integers(0, 40, 500), strict=True)] + [(1, None), (9, None), (None, 5)]
+    df = spark.createDataFrame(rows, "k int, v int")
+    near = {r.k: (r.p0, r.p50, r.p99, r.p100) for r in trends.exact_percentiles(df, ["k"], "v", [0.0, 0.5, 0.99, 1.0]).collect()}
+    low = {r.k: (r.p95,) for r in trends.exact_percentiles(df, ["k"], "v", [0.95], floor=True).collect()}
+    for k in (0, 1, 2):
+        own = sorted(v for j, v in rows if j == k and v is not None)
+        assert near[k] == tuple(own[max(1, -int(-len(own) * p // 1)) - 1] for p in (0.0, 0.5, 0.99, 1.0)) and low[k] == (own[int((len(own) - 1) * 0.95)],)
+    assert 9 not in near
+
+
+def test_staging_and_matrices(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"a": 1}\n{"a": 2}\n')
+    assert sorted(r.a for r in writers.convert_json(spark, str(tmp_path / "in"), str(tmp_path / "out"), "a long").collect()) == [1, 2]
+    (tmp_path / "in" / "b.json").write_text('{"a": "x"}\n')
+    with pytest.raises(Exception, match="(?i)malformed|cast|parse"):
+        writers.convert_json(spark, str(tmp_path / "in"), str(tmp_path / "out2"), "a long")
+    df = spark.createDataFrame([(2, [3.0, 4.0]), (1, [1.0, 2.0])], "id int, v array<double>")
+    assert writers.write_npy(df, str(tmp_path / "v.npy"), "id", "v") == (2, 2)
+    assert np.load(tmp_path / "v.npy").tolist() == [[1.0, 2.0], [3.0, 4.0]]
+    with pytest.raises(ValueError):
+        writers.write_npy(df, str(tmp_path / "w.npy"), "id", "v", most=1)
