@@ -2,7 +2,7 @@
 
 A window of ``min_words`` words is removed from a document if the same word sequence also
 starts in a document with a smaller id.  Windows are found by levels: at the first level all
-windows of ``first`` words are named (a 32-bit key within a hash bucket) and only those
+windows of ``first`` words are named (a 48-bit key within a hash bucket) and only those
 repeated anywhere go on; a window of the next level, twice as long, exists only where two
 repeated windows of the level below overlap or adjoin within one document, and its name is
 made of their two names.  The last level has ``min_words`` words.  Texts are not read again
@@ -50,19 +50,24 @@ def _first_level(length: int, buckets: int):
                 size = np.diff(edge)
                 again = np.repeat(size > 1, size)
                 bucket = ((found >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
-                key = found.astype(np.uint32)
                 here = np.sort(order[again])
-                out.append((-src - 1, src, LOCAL, pack(steps(at[here]), (bucket[here].astype(U) << U(32)) | key[here])))
+                out.append((-src - 1, src, LOCAL, pack(steps(at[here]), _names(bucket[here].astype(U), found[here]))))
                 once = np.sort(order[edge[:-1]])
                 by = once[np.argsort(bucket[once], kind="stable")]
                 edge = runs(bucket[by])
                 for a, b in zip(edge[:-1], edge[1:], strict=True):
-                    out.append((int(bucket[by[a]]), src, RECORDS, pack(key[by[a:b]], steps(at[by[a:b]]))))
+                    own = found[by[a:b]]
+                    out.append((int(bucket[by[a]]), src, RECORDS, pack(own.astype(np.uint32), (own >> U(32)).astype(np.uint16), steps(at[by[a:b]]))))
             yield _batch(out)
 
     return run
 
 
+def _names(bucket: np.ndarray | np.uint64, key: np.ndarray) -> np.ndarray:
+    """Names of windows: their bucket, which stands for the high bits of their hash, and its low 48 bits."""
+    return (bucket << U(48)) | (key & U((1 << 48) - 1))
+
+
 def _ids(column: pa.ChunkedArray) -> np.ndarray:
     return column.fill_null(NONE).to_numpy().astype(np.int64)
 
@@ -78,17 +83,17 @@ def _repeated(group: pd.DataFrame) -> pd.DataFrame:
         return group
     bucket = U(group.dest.iloc[0])
     blobs = [unpack(b) for b in group.blob]
-    keys = np.concatenate([b[0] for b in blobs])
+    keys = np.concatenate([b[0].astype(U) | (b[1].astype(U) << U(32)) for b in blobs])
     order = np.argsort(keys, kind="stable")
     size = np.diff(runs(keys[order]))
     again = np.zeros(len(keys), bool)
     again[order[np.repeat(size > 1, size)]] = True
     out, at = [], 0
-    for src, (key, where) in zip(group.src, blobs, strict=True):
-        hit = again[at : at + len(key)]
-        at += len(key)
+    for src, (_, _, where) in zip(group.src, blobs, strict=True):
+        hit, key = again[at : at + len(where)], keys[at : at + len(where)]
+        at += len(where)
         if hit.any():
-            out.append((-src - 1, src, LOCAL, pack(steps(unsteps(where)[hit]), (bucket << U(32)) | key[hit].astype(U))))
+            out.append((-src - 1, src, LOCAL, pack(steps(unsteps(where)[hit]), _names(bucket, key[hit]))))
     return rows(*out)
 
 

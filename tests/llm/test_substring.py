@@ -1,10 +1,12 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from quarrylens.llm import substring
 from quarrylens.llm.queries import QUERIES
 from quarrylens.llm.substring import remove_repeats
 
@@ -64,3 +66,11 @@ def test_whole_query(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     want = [(i, n, g, hashlib.sha256(k.encode()).hexdigest()) for i, n, g, k in brute(rows, 13)]
     assert sorted([tuple(r) for r in QUERIES["op2_substring_dedup"](spark, sf).collect()], key=str) == want
+
+
+def test_windows_that_share_all_but_the_high_bits_stay_apart():
+    """Names keep 48 bits of a window's hash besides its bucket."""
+    keys = np.array([5, 5 + (1 << 32), 5 + (1 << 47), 5 + (1 << 60)], np.uint64)
+    names = substring._names(np.uint64(3), keys)
+    assert len(set(names[:3].tolist())) == 3 and names[3] == names[0]
+    assert substring._names(np.uint64(4), keys[:1])[0] != names[0]
