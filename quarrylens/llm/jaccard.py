@@ -223,7 +223,7 @@ def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sizes = docs.agg(F.sum(F.octet_length(text_col)).alias("total"), F.max(F.octet_length(text_col)).alias("longest")).first()
     # a word and its separator take two bytes or more, so no set is larger than this
     bands = Bands(num, den, max(2, (sizes["longest"] or 0) // 2 + 2))
-    buckets = bucket_count(sizes["total"] or 0, 12 << 20)
+    buckets = bucket_count(sizes["total"] or 0)
     found = written(small_batches(texts).mapInArrow(frugal(_chunks(n, bands, buckets)), ROW).groupBy("dest").applyInPandas(frugal_group(_shared), FOUND))
     facts = found.filter(F.col("kind") == FACTS).select(F.when(F.col("a") != NONE, F.col("a")).alias("__id"), F.col("d").alias("__row"), F.col("b").alias("node"), F.col("c").alias("n_shingles"))
 
