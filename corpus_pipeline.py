@@ -12,6 +12,11 @@ Every stage reads what the one before wrote.  The first four return the columns
   words go stays as an empty text;
 * packing: the remaining texts as windows of 2048 tokens, a row for each piece.
 
+Nulls, ties and repeated rows: a null text goes in the first stage; a null id counts as larger than
+all others in the third and fourth; of documents that share the smallest id of a group the one with
+the smallest text hash stays, as often as its row is repeated; rows with equal ids don't remove each
+other's passages and are packed each for itself.  Columns besides those of documents are left out.
+
 SQL cannot express the learned stages, so ORACLE_SQL is None; tests/llm/test_pipeline.py holds
 the stages against brute-force versions.
 """

@@ -12,7 +12,9 @@ It is a ``tokenizers`` file with a BPE model over byte symbols, an optional end-
 suffix, NFC, white space and lower-case normalisers, and a pattern that keeps its matches.
 
 Defined results: a null text counts as empty and gives no ids; decoding no ids gives an empty
-text; null ids decode to null.  Output columns replace input columns of the same name.
+text; null ids decode to null.  Each row is encoded for itself, repeated ids and repeated rows
+too; a long text without white space is one pre-token or few, which a slice holds whole.  Output
+columns replace input columns of the same name.
 """
 
 from __future__ import annotations

@@ -14,7 +14,10 @@ element's number is its distance from its run's start.  All of it is arithmetic
 within a row: no shuffle, no Python, one pass.
 
 Defined results: null and empty texts, and texts of white space, have an empty fingerprint;
-two empty fingerprints have likeness 1, an empty and another 0.
+two empty fingerprints have likeness 1, an empty and another 0.  A text of fewer words than a
+sequence, a long one without white space too, is one element, and any edit gives it likeness 0.
+Beyond 2**24 words a place reaches into the bits of the hash: the fingerprint is still one of the
+text alone, but its order there is no longer that of the text.  Repeated rows each get their own.
 """
 
 from __future__ import annotations

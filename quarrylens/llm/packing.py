@@ -13,8 +13,9 @@ at whole windows.
 A group is a bounded number of neighbouring documents of one task: nothing is shuffled and no
 task holds more than a slice of documents and one group's remainders.
 
-Defined results: a null text counts as empty and gives the end id alone; rows with equal ids
-are packed each for itself; an empty table gives an empty table.
+Defined results: a null text counts as empty and gives the end id alone; rows with equal ids and
+repeated rows are packed each for itself; a long text without white space is encoded whole; other
+columns are left out; an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ text count as ordinary text.  The file's path is a parameter and must exist on t
 Defined results: a null text counts as empty and has 0 tokens; null edits mean no edit; an
 edit's range is cut to the text (a negative or null start is 0, a stop before the start is the
 start) and a null replacement is empty; edits apply in order, each to the text left by the
-one before.  Output columns replace input columns of the same name.
+one before.  Each row is counted for itself, repeated ids and repeated rows too.  Output columns
+replace input columns of the same name.
 """
 
 from __future__ import annotations
