@@ -1,19 +1,21 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, with block-max pruning.
 
-A bounded sample of labelled texts is the index.  Its vocabulary is the words and beginnings of words whose presence
-depends on the label (chi-squared with one degree of freedom of ``least_chi`` or more); weights
-are (1 + ln tf) * idf and vectors have length one.  The index is inverted by blocks of
-examples: for each word a block stores the weights of its examples and their maximum.  A
-query sums the maxima of its words into a bound for each block, reads blocks from the highest
-bound on and stops when no bound can change the ``k`` nearest found, so they are exact.  The
-neighbours vote with their cosines against a constant vote for "not toxic"; a logistic curve
-fitted on left-one-out votes of the sample, weighted to the labels' true shares, turns votes
-into probabilities.
+A bounded sample of labelled texts is the index.  Its terms are all lower-case words of the
+examples; a term weighs (1 + ln tf) * idf, times a factor between ``FLOOR`` and 1 that grows with
+its dependence on the label (chi-squared with one degree of freedom), so that subjects and
+languages don't drown what tells the labels apart.  A text's vector has length one over all its
+words, those of no example included.  The index is inverted: a term's list is cut by blocks of
+examples and keeps each block's greatest weight; the lists of frequent terms are stored with a
+place for every example.  A query sums the maxima of its terms into a bound for each block, reads
+blocks from the highest bound on and stops when no bound can change the ``k`` nearest found, so
+they are exact.  The neighbours vote with their cosines against a constant vote for "not toxic"; a
+logistic curve fitted on left-one-out votes of the sample, weighted to the labels' true shares,
+turns votes into probabilities.  Near copies among the sampled texts count as one example.
 
 The sample takes at most ``per_label`` texts of each label by the order of a hash of their
 ids; texts over ``longest`` bytes are not taken.  Scoring reads whole texts.
 
-Defined results: a null or empty text, or one without a word of the vocabulary, has no
+Defined results: a null or empty text, or one without a word of any example, has no
 neighbours and gets the probability of no evidence; without labels every score is 0.  Each row
 is scored for itself, repeated ids and repeated rows too; of rows that share an id the sample
 takes one for each label that the id has, that of the smallest text hash.  Examples of equal
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -42,78 +45,97 @@ NOT_LETTER = np.ones(256, bool)
 NOT_LETTER[65:91] = NOT_LETTER[97:123] = NOT_LETTER[128:] = False
 
 
-#: Bytes of words' beginnings that are terms too.
-BEGINNINGS = (4, 5, 6, 7, 8)
+#: The least factor of a term, of one that says nothing about the label.
+FLOOR = 0.3
 
 
-def term_counts(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, term or its place in the ascending vocabulary, count), by text and term.
-
-    Terms are hashes of lower-case words and of the beginnings of longer ones."""
+def term_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash of a lower-case word, count), by text and hash."""
     words = Words(data, offsets, NOT_LETTER)
-    owner, found = words.owner(), [words.hashes(lower=True)]
-    owners, size = [owner], words.ends - words.starts
-    for first in BEGINNINGS:
-        long = size > first
-        owners.append(owner[long])
-        found.append(mix(words.hashes(lower=True, first=first)[long] + np.uint64(first)))
-    owner, terms = np.concatenate(owners), np.concatenate(found)
-    if vocabulary is not None:
-        place = np.searchsorted(vocabulary, terms)
-        place[place == len(vocabulary)] = 0
-        hit = vocabulary[place] == terms if len(vocabulary) else np.zeros(len(terms), bool)
-        owner, terms = owner[hit], place[hit]
-    order = np.lexsort((terms, owner))
-    owner, terms = owner[order], terms[order]
-    new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (terms[1:] != terms[:-1])
-    first = np.flatnonzero(new)
-    return owner[first], terms[first], np.diff(np.append(first, len(owner)))
+    terms, place = np.unique(words.hashes(lower=True), return_inverse=True)
+    pairs, counts = np.unique(words.owner() * max(1, len(terms)) + place, return_counts=True)
+    return pairs // max(1, len(terms)), terms[pairs % max(1, len(terms))], counts
+
+
+def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... for ``size[0]`` numbers, then those from first[1] on, and so on."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
 
 
 @dataclass
 class Index:
+    #: of each term its hash, its weight and its row among the frequent ones (or -1); then the weight of any other word
     vocabulary: np.ndarray
-    idf: np.ndarray
-    #: block, word, example of the block
-    weights: np.ndarray
-    #: word, block
+    weight: np.ndarray
+    row: np.ndarray
+    other: float
+    #: frequent terms: weights by block, row, example of the block, and maxima by row, block
+    dense: np.ndarray
+    dense_highest: np.ndarray
+    #: other terms: a term's first entry; an entry's block, maximum and first posting; a posting's example and weight
+    entries: np.ndarray
+    block: np.ndarray
     highest: np.ndarray
+    postings: np.ndarray
+    seats: np.ndarray
+    weights: np.ndarray
+    #: of each example
     ids: np.ndarray
     toxic: np.ndarray
     k: int = 15
     slope: float = 1.0
     shift: float = 0.0
 
-    def query(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        q = (1 + np.log(counts)) * self.idf[terms]
-        return q / np.sqrt((q * q).sum())
-
-    def nearest(self, terms: np.ndarray, q: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of highest cosine above 0, ties to the smaller place, and the cosines."""
-        bound = q @ self.highest[terms]
-        blocks = np.argsort(-bound, kind="stable")
-        size = self.weights.shape[2]
-        places, scores = np.zeros(0, np.int64), np.zeros(0)
-        at, step = 0, 4
-        while at < len(blocks):
+    def vectors(self, owner: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, place of a term, its share in the text's vector of length one) of the terms that the index holds."""
+        place = np.searchsorted(self.vocabulary, terms)
+        place[place == len(self.vocabulary)] = 0
+        hit = self.vocabulary[place] == terms
+        w = (1 + np.log(counts)) * np.where(hit, self.weight[place], self.other)
+        length = np.sqrt(np.bincount(owner, w * w))
+        return owner[hit], place[hit], (w / length[owner])[hit]
+
+    def nearest(self, place: np.ndarray, q: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of highest cosine above 0, ties to the smaller seat, and the cosines."""
+        blocks, size = self.dense.shape[0], self.dense.shape[2]
+        frequent = self.row[place] >= 0
+        rows, q_rows = self.row[place[frequent]], q[frequent]
+        rare, q_rare = place[~frequent], q[~frequent]
+        number = self.entries[rare + 1] - self.entries[rare]
+        entry, q_entry = ranges(self.entries[rare], number), np.repeat(q_rare, number)
+        at_block = self.block[entry]
+        bound = q_rows @ self.dense_highest[rows] + np.bincount(at_block, q_entry * self.highest[entry], minlength=blocks)
+        order = np.argsort(-bound, kind="stable")
+        seats, scores = np.zeros(0, np.int64), np.zeros(0)
+        at, step = 0, 8
+        while at < blocks:
             least = scores[self.k - 1] if len(scores) >= self.k else 0.0
             # a bound equal to the least may still win a tie
-            some = blocks[at : at + step]
+            some = order[at : at + step]
             some = some[(bound[some] >= least - 1e-9) & (bound[some] > 0)]
             if not len(some):
                 break
-            found = np.einsum("t,bte->be", q, self.weights[np.ix_(some, terms)]).ravel()
-            place = (some[:, None] * size + np.arange(size)).ravel()
-            keep = (found > 1e-12) & (place != without)
-            places, scores = np.append(places, place[keep]), np.append(scores, found[keep])
-            order = np.lexsort((places, -scores.round(12)))[: self.k]
-            places, scores = places[order], scores[order]
+            chosen = np.zeros(blocks, bool)
+            chosen[some] = True
+            read = np.flatnonzero(chosen[at_block])
+            first = self.postings[entry[read]]
+            number = self.postings[entry[read] + 1] - first
+            posting = ranges(first, number)
+            found = np.bincount(self.seats[posting], self.weights[posting] * np.repeat(q_entry[read], number), minlength=blocks * size).astype(float)
+            if len(rows):
+                for b in some.tolist():
+                    found[b * size : (b + 1) * size] += q_rows @ self.dense[b, rows]
+            seat = np.flatnonzero((found > 1e-12) & np.repeat(chosen, size))
+            seat = seat[seat != without]
+            seats, scores = np.append(seats, seat), np.append(scores, found[seat])
+            best = np.lexsort((seats, -scores.round(12)))[: self.k]
+            seats, scores = seats[best], scores[best]
             at, step = at + step, step * 2
-        return places, scores
+        return seats, scores
 
-    def vote(self, places: np.ndarray, scores: np.ndarray) -> float:
-        return float((scores * self.toxic[places]).sum() / (scores.sum() + 0.5))
+    def vote(self, seats: np.ndarray, scores: np.ndarray) -> float:
+        return float((scores * self.toxic[seats]).sum() / (scores.sum() + 0.5))
 
     def probability(self, vote: np.ndarray | float) -> np.ndarray:
         return 1 / (1 + np.exp(-(self.slope * np.asarray(vote) + self.shift)))
@@ -132,42 +154,61 @@ def without_copies(texts: list[tuple[int, int, np.ndarray, np.ndarray]], hashes:
     return kept
 
 
-def build(texts: list[tuple[int, int, np.ndarray, np.ndarray]], share: float, k: int = 15, block: int = 64, least_chi: float = 16.0, least_df: int = 5) -> Index:
-    """From (id, label, word hashes, counts) of each example; share: of toxic among all labels."""
+def build(texts: list[tuple[int, int, np.ndarray, np.ndarray]], share: float, k: int = 15, block: int = 64, sure_chi: float = 16.0, least_df: int = 5, frequent: float = 1 / 16) -> Index:
+    """From (id, label, word hashes, counts) of each example; share: of toxic among all labels.
+
+    A term's factor is 1 from a chi-squared of ``sure_chi`` on; it stays at FLOOR for terms of fewer
+    than ``least_df`` examples, where chance looks like dependence.  Terms of at least the share
+    ``frequent`` of the examples have a place for every example, which is at most 1 / frequent times
+    as much memory as postings."""
     texts = without_copies(texts)
+    n = len(texts)
     toxic = np.array([y for _, y, _, _ in texts])
-    owner = np.repeat(np.arange(len(texts)), [len(t) for _, _, t, _ in texts])
+    owner = np.repeat(np.arange(n), [len(t) for _, _, t, _ in texts])
     terms, counts = (np.concatenate([t[i] for t in texts]) for i in (2, 3))
     vocabulary, place = np.unique(terms, return_inverse=True)
-    n, pos = len(texts), toxic.sum()
+    pos = toxic.sum()
     df = np.bincount(place, minlength=len(vocabulary)).astype(float)
     hit = np.bincount(place, toxic[owner], minlength=len(vocabulary))
     a, b, c, d = hit, df - hit, pos - hit, n - pos - (df - hit)
     chi = n * (a * d - b * c) ** 2 / np.maximum(1e-9, (a + b) * (c + d) * (a + c) * (b + d))
-    use = (chi >= least_chi) & (df >= least_df)
-    vocabulary, idf = vocabulary[use], (np.log((1 + n) / (1 + df)) + 1)[use]
-    renumber = np.cumsum(use) - 1
-    keep = use[place]
-    owner, place, counts = owner[keep], renumber[place[keep]], counts[keep]
-    w = (1 + np.log(counts)) * idf[place]
-    length = np.sqrt(np.bincount(owner, w * w, minlength=n))
+    factor = FLOOR + (1 - FLOOR) * np.minimum(1, chi / sure_chi) ** 2 * (df >= least_df)
+    idf = np.log((1 + n) / (1 + df)) + 1
+    weight, other = idf * factor, (np.log(1 + n) + 1) * FLOOR
+    w = (1 + np.log(counts)) * weight[place]
+    w /= np.sqrt(np.bincount(owner, w * w, minlength=n))[owner]
     # examples with like words share blocks, which keeps the maxima apart
     lead = np.zeros(n, np.int64)
     best = np.lexsort((-w, owner))
-    lead[owner[best][runs(owner[best])[:-1]]] = place[best][runs(owner[best])[:-1]] + 1 if len(best) else 0
+    first = best[runs(owner[best])[:-1]]
+    lead[owner[first]] = place[first] + 1
     order = np.lexsort((np.arange(n), lead, toxic))
     seat = np.empty(n, np.int64)
     seat[order] = np.arange(n)
-    weights = np.zeros((-(-n // block), len(vocabulary), block), np.float32)
-    weights[seat[owner] // block, place, seat[owner] % block] = w / length[owner]
-    pad = weights.shape[0] * block - n
-    ids = np.append(np.array([i for i, _, _, _ in texts])[order], np.full(pad, -1))
-    index = Index(vocabulary, idf, weights, weights.max(axis=2).T.copy() if n else weights, ids, np.append(toxic[order], np.zeros(pad, int)), k)
+    blocks = -(-n // block)
+    often = df >= max(2, frequent * n)
+    row = np.where(often, np.cumsum(often) - 1, -1)
+    dense = np.zeros((blocks, int(often.sum()), block), np.float32)
+    mine = often[place]
+    dense[seat[owner[mine]] // block, row[place[mine]], seat[owner[mine]] % block] = w[mine]
+    # postings of the others by term and seat, entries by term and block
+    mine = np.flatnonzero(~mine)
+    mine = mine[np.lexsort((seat[owner[mine]], place[mine]))]
+    seats, weights = seat[owner[mine]], w[mine].astype(np.float32)
+    postings = runs(place[mine] * blocks + seats // block)
+    heads = postings[:-1]
+    ids = np.array([i for i, _, _, _ in texts], np.int64)
+    index = Index(
+        vocabulary, weight, row, other, dense, dense.max(axis=2).T.copy(),
+        np.searchsorted(place[mine][heads], np.arange(len(vocabulary) + 1)), (seats[heads] // block).astype(np.int32),
+        np.maximum.reduceat(weights, heads) if len(heads) else weights, postings, seats.astype(np.int32), weights,
+        ids[order], toxic[order], k,
+    )
     votes = np.zeros(n)
+    edge = np.searchsorted(owner, np.arange(n + 1))
     for i in range(n):
-        mine = slice(*np.searchsorted(owner, [i, i + 1]))
-        if mine.start < mine.stop:
-            votes[i] = index.vote(*index.nearest(place[mine], index.query(place[mine], counts[mine]), int(seat[i])))
+        own = slice(edge[i], edge[i + 1])
+        votes[i] = index.vote(*index.nearest(place[own], w[own], int(seat[i])))
     _calibrate(index, votes, toxic, share)
     return index
 
@@ -227,15 +268,15 @@ def score(docs: DataFrame, index: Index | None, text_col: str = "text") -> DataF
         for table, data, offsets in text_slices(batches, text_col, SLICE):
             votes, evidence = np.zeros(table.num_rows), [[] for _ in range(table.num_rows)]
             if index is not None and len(index.vocabulary):
-                owner, terms, counts = term_counts(data, offsets, index.vocabulary)
+                owner, place, q = index.vectors(*term_counts(data, offsets))
                 edge = runs(owner)
                 for a, b in zip(edge[:-1], edge[1:], strict=True):
-                    key = terms[a:b].tobytes() + counts[a:b].tobytes()
+                    key = blake2b(place[a:b].tobytes() + q[a:b].tobytes(), digest_size=16).digest()
                     if key not in known:
                         if len(known) > 20_000:
                             known.clear()
-                        places, scores = index.nearest(terms[a:b], index.query(terms[a:b], counts[a:b]))
-                        known[key] = index.vote(places, scores), index.ids[places].tolist()
+                        seats, scores = index.nearest(place[a:b], q[a:b])
+                        known[key] = index.vote(seats, scores), index.ids[seats].tolist()
                     votes[owner[a]], evidence[owner[a]] = known[key]
             chance = index.probability(votes) if index is not None else votes
             table = table.append_column("score", pa.array(chance)).append_column("evidence", pa.array(evidence, pa.list_(pa.int64())))
