@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,13 +31,34 @@ def improvement_groups(insights: DataFrame) -> DataFrame:
     return groups.filter("negative_insight_count > 0").withColumn("input_id", F.left(F.sha2(key, 256), F.lit(24)))
 
 
+def _cuts(sizes: list[int | None], budget: int) -> list[tuple[int, int, int | None]]:
+    """(first place from 1, number, sum) of each run of sizes within the budget; a larger or unknown size is a run of its own."""
+    out, at, count, n = [], 1, 0, None
+    for i, k in enumerate(sizes, 1):
+        if count and n is not None and k is not None and n + k <= budget:
+            count, n = count + 1, n + k
+        else:
+            if count:
+                out.append((at, count, n))
+            at, count, n = i, 1, k
+    return [*out, (at, count, n)] if count else out
+
+
 def _chunked(groups: DataFrame, budget: int, tokens: str, item: str) -> DataFrame:
-    """``groups`` with chunk_index, token_count and items (strings, by the SQL ``item`` over an insight x)."""
-    folded = f"""aggregate(insights, cast(array() as array<struct<n: int, items: array<string>>>), (a, x) ->
-        case when size(a) > 0 and element_at(a, -1).n + {tokens} <= {budget}
-             then concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).n + {tokens} as n, concat(element_at(a, -1).items, array({item})) as items)))
-             else concat(a, array(struct({tokens} as n, array({item}) as items))) end)"""
-    return groups.select("*", F.posexplode(F.expr(folded)).alias("chunk_index", "__chunk")).select("*", F.col("__chunk.n").alias("token_count"), F.col("__chunk.items").alias("items")).drop("__chunk")
+    """``groups`` with chunk_index, token_count and items (strings, by the SQL ``item`` over an insight x).
+
+    Only the token counts go to Python: one pass over them finds the cuts, where a fold in SQL
+    copies all chunks so far for each insight."""
+    kind = "array<struct<at: int, size: int, n: int>>"
+
+    @F.arrow_udf(kind)
+    def cuts(sizes: pa.Array) -> pa.Array:
+        found = [None if x is None else [dict(zip(("at", "size", "n"), c, strict=True)) for c in _cuts(x, budget)] for x in sizes.to_pylist()]
+        return pa.array(found, pa.list_(pa.struct([("at", pa.int32()), ("size", pa.int32()), ("n", pa.int32())])))
+
+    each = groups.withColumn("__cuts", cuts(F.expr(f"transform(insights, x -> {tokens})")))
+    chunks = F.expr(f"transform(__cuts, c -> struct(c.n as n, transform(slice(insights, c.at, c.size), x -> {item}) as items))")
+    return each.select(*groups.columns, F.posexplode(chunks).alias("chunk_index", "__chunk")).select("*", F.col("__chunk.n").alias("token_count"), F.col("__chunk.items").alias("items")).drop("__chunk")
 
 
 #: Words of an insight's evidence.

@@ -1,6 +1,7 @@
 import base64
 import gzip
 import json
+import time
 
 import numpy as np
 import pytest
@@ -204,6 +205,29 @@ def test_generation_by_size(spark, tmp_path):
     assert improve.generate(work, done, load=load).count() == 50 and log.read_text() == "x"
 
 
+def test_chunks_of_a_large_group(spark):
+    n = 100_000
+    size = "cast(1 + k % 3 as int)"
+    insights = F.expr(f"transform(sequence(0, {n - 1}), k -> struct(cast(k as string) as candidate_id, {size} as words))")
+    groups = spark.range(1).select(F.lit("g").alias("input_id"), F.lit(1).alias("product_id"), F.lit("t").alias("taxonomy_id"), insights.alias("insights"))
+    began = time.perf_counter()
+    got = improve.insight_chunks(groups, 4, "x.words").orderBy("chunk_index").collect()
+    # a pass over the insights takes a second or two, a copy of all chunks for each insight minutes
+    assert time.perf_counter() - began < 40
+    assert [i for c in got for i in c.candidate_ids] == [str(k) for k in range(n)]
+    assert [c.chunk_index for c in got] == list(range(len(got)))
+    sums = [sum(1 + int(i) % 3 for i in c.candidate_ids) for c in got]
+    assert [c.token_count for c in got] == sums and max(sums) == 4
+    assert all(a + 1 + int(c.candidate_ids[0]) % 3 > 4 for a, c in zip(sums, got[1:], strict=False))
+
+
+def test_chunks_of_odd_groups(spark):
+    rows = [("none", None), ("empty", []), ("odd", [("a", 2), ("b", None), ("c", 0), ("d", 9), ("e", 3), ("f", 1)])]
+    groups = spark.createDataFrame(rows, "input_id string, insights array<struct<candidate_id: string, words: int>>").withColumns({"product_id": F.lit(1), "taxonomy_id": F.lit("t")})
+    got = improve.insight_chunks(groups, 4, "x.words").orderBy("chunk_index").collect()
+    assert [(c.input_id, c.chunk_index, c.token_count, c.candidate_ids) for c in got] == [("odd", 0, 2, ["a"]), ("odd", 1, None, ["b"]), ("odd", 2, 0, ["c"]), ("odd", 3, 9, ["d"]), ("odd", 4, 4, ["e", "f"])]
+
+
 def test_occurrences(spark):
     text = "aXbXc aXb"
     assert insights.occurrences(text, "aXb") == [(0, 3), (6, 9)] and insights.occurrences("aaa", "aa") == [(0, 2), (1, 3)] and insights.occurrences("a", "") == []
