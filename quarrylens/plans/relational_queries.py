@@ -78,7 +78,12 @@ def topk_per_group(spark, d):
 
 @query("SELECT o_custkey, o_orderpriority, max(o_totalprice) AS best, arg_max(o_orderkey, o_totalprice) AS o_orderkey FROM orders GROUP BY o_custkey, o_orderpriority")
 def best_member(spark, d):
-    return table(spark, d, "orders").groupBy("o_custkey", "o_orderpriority").agg(F.max("o_totalprice").alias("best"), F.max_by("o_orderkey", "o_totalprice").alias("o_orderkey"))
+    """Of orders with the same best price, that with the smallest key; SQL's arg_max takes the first it meets.
+
+    As in SQL, a row without key or price is no best one."""
+    known = F.col("o_totalprice").isNotNull() & F.col("o_orderkey").isNotNull()
+    place = F.when(known, F.struct("o_totalprice", F.bitwise_not("o_orderkey")))
+    return table(spark, d, "orders").groupBy("o_custkey", "o_orderpriority").agg(F.max("o_totalprice").alias("best"), F.max_by("o_orderkey", place).alias("o_orderkey"))
 
 
 @query()
