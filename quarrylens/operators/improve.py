@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrylens.operators.gold import mapped_insights
 from quarrylens.sources.storage import written
@@ -31,34 +33,39 @@ def improvement_groups(insights: DataFrame) -> DataFrame:
     return groups.filter("negative_insight_count > 0").withColumn("input_id", F.left(F.sha2(key, 256), F.lit(24)))
 
 
-def _cuts(sizes: list[int | None], budget: int) -> list[tuple[int, int, int | None]]:
-    """(first place from 1, number, sum) of each run of sizes within the budget; a larger or unknown size is a run of its own."""
-    out, at, count, n = [], 1, 0, None
-    for i, k in enumerate(sizes, 1):
+def _cuts(sizes: list[int | None], budget: int) -> list[tuple[int, int | None]]:
+    """(number, sum) of each run of sizes within the budget; a larger or unknown size is a run of its own."""
+    out, count, n = [], 0, None
+    for k in sizes:
         if count and n is not None and k is not None and n + k <= budget:
             count, n = count + 1, n + k
         else:
             if count:
-                out.append((at, count, n))
-            at, count, n = i, 1, k
-    return [*out, (at, count, n)] if count else out
+                out.append((count, n))
+            count, n = 1, k
+    return [*out, (count, n)] if count else out
 
 
-def _chunked(groups: DataFrame, budget: int, tokens: str, item: str) -> DataFrame:
-    """``groups`` with chunk_index, token_count and items (strings, by the SQL ``item`` over an insight x).
+def _chunked(groups: DataFrame, keep: list[str], budget: int, tokens: str, item: str) -> DataFrame:
+    """``keep`` of the groups with chunk_index, token_count and items (strings, by the SQL ``item`` over an insight x).
 
-    Only the token counts go to Python: one pass over them finds the cuts, where a fold in SQL
-    copies all chunks so far for each insight."""
-    kind = "array<struct<at: int, size: int, n: int>>"
+    One pass over a group's token counts finds the cuts; a fold in SQL would copy all chunks so far
+    for each insight."""
+    rows = groups.filter("insights is not null").select(*keep, F.expr(f"transform(insights, x -> {tokens})").alias("__sizes"), F.expr(f"transform(insights, x -> {item})").alias("items"))
+    schema = T.StructType([*rows.select(*keep).schema, T.StructField("chunk_index", T.IntegerType()), T.StructField("token_count", T.IntegerType()), T.StructField("items", T.ArrayType(T.StringType()))])
 
-    @F.arrow_udf(kind)
-    def cuts(sizes: pa.Array) -> pa.Array:
-        found = [None if x is None else [dict(zip(("at", "size", "n"), c, strict=True)) for c in _cuts(x, budget)] for x in sizes.to_pylist()]
-        return pa.array(found, pa.list_(pa.struct([("at", pa.int32()), ("size", pa.int32()), ("n", pa.int32())])))
+    def run(batches):
+        for b in batches:
+            cuts = [_cuts(x, budget) for x in b.column("__sizes").to_pylist()]
+            own = pa.array([i for i, c in enumerate(cuts) for _ in c], pa.int32())
+            index = pa.array([i for c in cuts for i in range(len(c))], pa.int32())
+            total = pa.array([n for c in cuts for _, n in c], pa.int32())
+            ends = pa.array(accumulate((count for c in cuts for count, _ in c), initial=0), pa.int32())
+            # the chunks of a group are its items in order, so only the lists' ends are new
+            items = pa.ListArray.from_arrays(ends, b.column("items").flatten())
+            yield pa.RecordBatch.from_arrays([*(b.column(k).take(own) for k in keep), index, total, items], names=schema.names)
 
-    each = groups.withColumn("__cuts", cuts(F.expr(f"transform(insights, x -> {tokens})")))
-    chunks = F.expr(f"transform(__cuts, c -> struct(c.n as n, transform(slice(insights, c.at, c.size), x -> {item}) as items))")
-    return each.select(*groups.columns, F.posexplode(chunks).alias("chunk_index", "__chunk")).select("*", F.col("__chunk.n").alias("token_count"), F.col("__chunk.items").alias("items")).drop("__chunk")
+    return rows.mapInArrow(run, schema)
 
 
 #: Words of an insight's evidence.
@@ -67,7 +74,7 @@ TOKENS = "size(split(x.evidence, ' '))"
 
 def insight_chunks(groups: DataFrame, budget: int, tokens: str = TOKENS) -> DataFrame:
     """Order-preserving chunks of a group's insights within a token budget; a larger insight is a chunk of its own."""
-    chunks = _chunked(groups, budget, tokens, "cast(x.candidate_id as string)")
+    chunks = _chunked(groups, ["input_id", "product_id", "taxonomy_id"], budget, tokens, "cast(x.candidate_id as string)")
     return chunks.select("input_id", "product_id", "taxonomy_id", "chunk_index", "token_count", F.col("items").alias("candidate_ids"))
 
 
@@ -123,7 +130,7 @@ def generate_by_size(
     none = done.limit(0)
     small = left.filter(size <= budget).select("input_id", prompt(direct, F.expr(f"transform(insights, x -> {line})")).alias("prompt"))
     first = generate(small, none, retries=retries, load=load, check=check).withColumn("generation_mode", F.lit("direct"))
-    chunks = _chunked(left.filter(size > budget), budget, tokens, line)
+    chunks = _chunked(left.filter(size > budget), ["input_id", "name"], budget, tokens, line)
     chunks = chunks.select(F.concat_ws("#", "input_id", F.col("chunk_index").cast("string")).alias("input_id"), prompt(of_chunk, F.col("items")).alias("prompt"))
     parts = generate(chunks, none, retries=retries, load=load).select(
         F.substring_index("input_id", "#", 1).alias("input_id"), F.substring_index("input_id", "#", -1).cast("int").alias("at"), "improvement_suggestion", "error_message"
